@@ -88,14 +88,28 @@ _WAREHOUSE = {
     ),
 }
 
-STAGING: dict[str, T.StructType] = {
-    name: T.StructType.fromDDL(f"{ddl}, {_LINEAGE}") for name, ddl in _STAGING.items()
-}
-WAREHOUSE: dict[str, T.StructType] = {
-    name: T.StructType.fromDDL(ddl) for name, ddl in _WAREHOUSE.items()
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "decimal(8,2)": T.DecimalType(8, 2),
+    "decimal(18,2)": T.DecimalType(18, 2),
 }
 
 
+def _struct(columns: str) -> T.StructType:
+    """Schema from "name type, name type"; usable before a session exists."""
+    pairs = [column.split(" ") for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+STAGING = {name: _struct(f"{columns}, {_LINEAGE}") for name, columns in _STAGING.items()}
+WAREHOUSE = {name: _struct(columns) for name, columns in _WAREHOUSE.items()}
+
+
 def conform(df, schema: T.StructType):
     """Columns of ``schema`` in its order and types."""
     return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
