@@ -30,8 +30,8 @@ class Star:
         return dict(self.__dict__)
 
 
-def read_star(warehouse: Warehouse) -> Star:
-    folders = warehouse.folders()
+def read_star(warehouse: Warehouse, version: int | None = None) -> Star:
+    folders = warehouse.folders(version)
     return Star(
         **{
             table: warehouse.read_folders(table, folders.get(table, []))
@@ -41,9 +41,10 @@ def read_star(warehouse: Warehouse) -> Star:
 
 
 _built: dict[tuple[str, str], Warehouse] = {}
+FIRST_LOAD, BEFORE_SECOND, SECOND_LOAD = 1, 2, 3
 
 
-def driver_star(spark: SparkSession, sf_dir: str) -> Star:
+def driver_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse loaded from the driver tables, once per application and data folder."""
     application = spark.sparkContext.applicationId
     if (application, sf_dir) not in _built:
@@ -51,7 +52,24 @@ def driver_star(spark: SparkSession, sf_dir: str) -> Star:
         warehouse = Warehouse(spark, f"{shared_dir(spark)}/warehouse/{application}/{name}")
         run_batch(warehouse, tpch.staging(spark, sf_dir), tpch.FIRST_NOW)
         _built[(application, sf_dir)] = warehouse
-    return read_star(_built[(application, sf_dir)])
+    return _built[(application, sf_dir)]
+
+
+def driver_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star after the first load."""
+    return read_star(driver_warehouse(spark, sf_dir), FIRST_LOAD)
+
+
+def second_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star after a second delivery onto the orders as they stood at the end of 1999."""
+    warehouse = driver_warehouse(spark, sf_dir)
+    if len(warehouse.versions()) < SECOND_LOAD:
+        folders = warehouse.folders(FIRST_LOAD)
+        orders = warehouse.read("fact_order", FIRST_LOAD).drop("order_year")
+        early = warehouse.write("fact_order", orders.filter("transaction_date_key < 20000101"))
+        warehouse.publish({**folders, "fact_order": early})
+        run_batch(warehouse, tpch.staging(spark, sf_dir, 2), tpch.SECOND_NOW)
+    return read_star(warehouse, SECOND_LOAD)
 
 
 # --- shapes -----------------------------------------------------------------------------------

@@ -33,20 +33,22 @@ class Warehouse:
 
     # --- reading ---
 
-    def _lists(self) -> list[str]:
+    def versions(self) -> list[str]:
+        """The published lists, oldest first."""
         names = [f for f in paths.files_in(self.spark, self.root) if "/tables." in f]
         names = [f for f in names if not f.endswith(".next")]
         return sorted(names, key=lambda f: int(f.rsplit(".", 1)[1]))
 
-    def folders(self) -> dict[str, list[str]]:
-        lists = self._lists()
+    def folders(self, version: int | None = None) -> dict[str, list[str]]:
+        """Folders of every table, by default of the latest version (the first is 1)."""
+        lists = self.versions()
         if not lists:
             return {}
-        text = self.spark.read.text(lists[-1], wholetext=True).first()[0]
-        return json.loads(text)
+        text = self.spark.read.text(lists[-1 if version is None else version - 1], wholetext=True)
+        return json.loads(text.first()[0])
 
-    def read(self, table: str) -> DataFrame:
-        return self.read_folders(table, self.folders().get(table, []))
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        return self.read_folders(table, self.folders(version).get(table, []))
 
     def read_folders(self, table: str, folders: Sequence[str]) -> DataFrame:
         """The table with its fixed schema; ``order_year`` comes along for yearly tables."""
@@ -84,7 +86,7 @@ class Warehouse:
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def publish(self, folders: dict[str, list[str]]) -> None:
-        lists = self._lists()
+        lists = self.versions()
         number = int(lists[-1].rsplit(".", 1)[1]) + 1 if lists else 1
         paths.write_text(self.spark, f"{self.root}/tables.{number}", json.dumps(folders))
 
