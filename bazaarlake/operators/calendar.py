@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ def _range(df: DataFrame, date: Column) -> DataFrame:
     )
 
 
-def date_span(staging: dict[str, DataFrame]) -> DataFrame:
+def date_span(staging: Mapping[str, DataFrame]) -> DataFrame:
     """One row: first and last date named anywhere in the staging tables."""
     orders = staging["stg_orders"]
     arrival = F.date_add(
@@ -58,7 +59,7 @@ def calendar_days(span: DataFrame) -> DataFrame:
     )
 
 
-def load_dim_date(current: DataFrame, staging: dict[str, DataFrame]) -> DataFrame:
+def load_dim_date(current: DataFrame, staging: Mapping[str, DataFrame]) -> DataFrame:
     """Days already there stay untouched."""
     days = calendar_days(date_span(staging))
     return current.unionByName(days.join(current, "date_key", "left_anti"))

@@ -2,83 +2,109 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import DataFrame
 
+from bazaarlake.lazy import LazyTables
 from bazaarlake.operators import calendar, cleaning, facts, identity, scd
 from bazaarlake.plans.store import Warehouse
 
 
-def clean_sources(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Identity tables and every cleaned table, as lazy DataFrames."""
-    users = identity.user_identity(staging["stg_user_data"])
-    merchants = identity.merchant_identity(staging["stg_merchant_data"])
-    staff = identity.staff_identity(staging["stg_staff"])
-    return {
-        "user_identity": users,
-        "merchant_identity": merchants,
-        "staff_identity": staff,
-        "product_identity": identity.product_identity(staging["stg_product_list"]),
-        "orders": cleaning.clean_orders(staging["stg_orders"]),
-        "order_delays": cleaning.clean_order_delays(staging["stg_order_delays"]),
-        "line_prices": cleaning.clean_line_prices(staging["stg_line_items_prices"]),
-        "line_products": cleaning.clean_line_products(staging["stg_line_items_products"]),
-        "order_merchant": cleaning.clean_order_merchant(
-            staging["stg_order_merchant"], merchants, staff
-        ),
-        "campaigns": cleaning.clean_campaigns(staging["stg_campaign"]),
-        "campaign_transactions": cleaning.clean_campaign_transactions(
-            staging["stg_campaign_transactions"]
-        ),
-        "products": cleaning.clean_products(staging["stg_product_list"]),
-        "merchants": cleaning.clean_merchants(staging["stg_merchant_data"], merchants),
-        "staff": cleaning.clean_staff(staging["stg_staff"], staff),
-        "user_data": cleaning.clean_user_data(staging["stg_user_data"], users),
-        "user_job": cleaning.clean_user_job(staging["stg_user_job"], users),
-        "user_credit_card": cleaning.clean_user_credit_card(
-            staging["stg_user_credit_card"], users
-        ),
-        "customer_source": cleaning.customer_source(
+def clean_sources(staging: Mapping[str, DataFrame]) -> LazyTables:
+    """Identity tables and every cleaned table."""
+
+    def with_keys(clean: Callable[..., DataFrame], source: str, *lookups: str) -> DataFrame:
+        return clean(staging[source], *[tables[lookup] for lookup in lookups])
+
+    def over(source: str, clean: Callable[..., DataFrame], *lookups: str):
+        return partial(with_keys, clean, source, *lookups)
+
+    def customers() -> DataFrame:
+        return cleaning.customer_source(
             staging["stg_user_data"],
             staging["stg_user_job"],
             staging["stg_user_credit_card"],
-            users,
-        ),
-        "order_metrics": facts.order_metrics(
-            cleaning.line_prices(staging["stg_line_items_prices"])
-        ),
-    }
+            tables["user_identity"],
+        )
+
+    def metrics() -> DataFrame:
+        return facts.order_metrics(cleaning.line_prices(staging["stg_line_items_prices"]))
+
+    tables = LazyTables(
+        {
+            "user_identity": over("stg_user_data", identity.user_identity),
+            "merchant_identity": over("stg_merchant_data", identity.merchant_identity),
+            "staff_identity": over("stg_staff", identity.staff_identity),
+            "product_identity": over("stg_product_list", identity.product_identity),
+            "orders": over("stg_orders", cleaning.clean_orders),
+            "order_delays": over("stg_order_delays", cleaning.clean_order_delays),
+            "line_prices": over("stg_line_items_prices", cleaning.clean_line_prices),
+            "line_products": over("stg_line_items_products", cleaning.clean_line_products),
+            "order_merchant": over(
+                "stg_order_merchant",
+                cleaning.clean_order_merchant,
+                "merchant_identity",
+                "staff_identity",
+            ),
+            "campaigns": over("stg_campaign", cleaning.clean_campaigns),
+            "campaign_transactions": over(
+                "stg_campaign_transactions", cleaning.clean_campaign_transactions
+            ),
+            "products": over("stg_product_list", cleaning.clean_products),
+            "merchants": over(
+                "stg_merchant_data", cleaning.clean_merchants, "merchant_identity"
+            ),
+            "staff": over("stg_staff", cleaning.clean_staff, "staff_identity"),
+            "user_data": over("stg_user_data", cleaning.clean_user_data, "user_identity"),
+            "user_job": over("stg_user_job", cleaning.clean_user_job, "user_identity"),
+            "user_credit_card": over(
+                "stg_user_credit_card", cleaning.clean_user_credit_card, "user_identity"
+            ),
+            "customer_source": customers,
+            "order_metrics": metrics,
+        }
+    )
+    return tables
 
 
 def load_dimensions(
-    current: dict[str, DataFrame],
-    staging: dict[str, DataFrame],
-    clean: dict[str, DataFrame],
+    current: Mapping[str, DataFrame],
+    staging: Mapping[str, DataFrame],
+    clean: Mapping[str, DataFrame],
     now: str,
     stage: scd.Stage = scd.keep_lazy,
-) -> dict[str, DataFrame]:
-    return {
-        "dim_campaign": scd.load_dim_campaign(current["dim_campaign"], clean["campaigns"]),
-        "dim_customer": scd.load_dim_customer(
-            current["dim_customer"], clean["customer_source"], now, stage
-        ),
-        "dim_date": calendar.load_dim_date(current["dim_date"], staging),
-        "dim_merchant": scd.load_dim_merchant(
-            current["dim_merchant"], clean["merchants"], now, stage
-        ),
-        "dim_product": scd.load_dim_product(
-            current["dim_product"], clean["products"], now, stage
-        ),
-        "dim_staff": scd.load_dim_staff(current["dim_staff"], clean["staff"], now, stage),
-    }
-
-
-def incoming_lines(clean: dict[str, DataFrame], dim_product: DataFrame) -> DataFrame:
+) -> LazyTables:
+    """The new dimension tables."""
+
+    def type2(load: Callable[..., DataFrame], table: str, source: str) -> DataFrame:
+        return load(current[table], clean[source], now, stage)
+
+    return LazyTables(
+        {
+            "dim_customer": partial(
+                type2, scd.load_dim_customer, "dim_customer", "customer_source"
+            ),
+            "dim_product": partial(type2, scd.load_dim_product, "dim_product", "products"),
+            "dim_staff": partial(type2, scd.load_dim_staff, "dim_staff", "staff"),
+            "dim_merchant": partial(type2, scd.load_dim_merchant, "dim_merchant", "merchants"),
+            "dim_campaign": lambda: scd.load_dim_campaign(
+                current["dim_campaign"], clean["campaigns"]
+            ),
+            "dim_date": lambda: calendar.load_dim_date(current["dim_date"], staging),
+        }
+    )
+
+
+def incoming_lines(clean: Mapping[str, DataFrame], dim_product: DataFrame) -> DataFrame:
     matched = facts.match_lines(clean["line_products"], clean["line_prices"])
     return facts.lines_with_product(matched, dim_product)
 
 
 def incoming_orders(
-    clean: dict[str, DataFrame], dimensions: dict[str, DataFrame]
+    clean: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame]
 ) -> DataFrame:
     return facts.build_fact_order(
         clean["orders"],
@@ -101,27 +127,45 @@ DIMENSIONS = [
     "dim_product",
     "dim_staff",
 ]
+_AT_ONCE = 4
 
 
-def run_batch(warehouse: Warehouse, staging: dict[str, DataFrame], now: str) -> None:
+def run_batch(warehouse: Warehouse, staging: Mapping[str, DataFrame], now: str) -> None:
     """Loads one delivery and publishes all tables together.
 
     ``now`` is the load time as "yyyy-MM-dd HH:mm:ss"; running the same delivery again changes
-    nothing but the folders.
+    nothing but the folders. Tables that do not need each other are written at the same time.
     """
     clean = clean_sources(staging)
     before = warehouse.folders()
     current = {t: warehouse.read_folders(t, before.get(t, [])) for t in DIMENSIONS}
-    after: dict[str, list[str]] = {}
 
     # Dimensions are whole small tables next to the facts: rewritten each time.
     loaded = load_dimensions(current, staging, clean, now, warehouse.stage)
-    dimensions: dict[str, DataFrame] = {}
-    for table, rows in loaded.items():
-        after[table] = warehouse.write(table, rows)
-        dimensions[table] = warehouse.read_folders(table, after[table])
 
-    # Facts: only folders that hold an order of this delivery are rewritten.
+    def write_dimension(table: str) -> list[str]:
+        return warehouse.write(table, loaded[table])
+
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        written = list(pool.map(write_dimension, loaded))
+    after = dict(zip(loaded, written))
+    dimensions = {t: warehouse.read_folders(t, f) for t, f in after.items()}
+
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        lines = pool.submit(_load_lines, warehouse, before, clean, dimensions)
+        orders = pool.submit(_load_orders, warehouse, before, clean, dimensions)
+        after["fact_order_line_item"] = lines.result()
+        after["fact_order"] = orders.result()
+    warehouse.publish(after)
+
+
+def _load_lines(
+    warehouse: Warehouse,
+    before: Mapping[str, list[str]],
+    clean: Mapping[str, DataFrame],
+    dimensions: Mapping[str, DataFrame],
+) -> list[str]:
+    """Folders of the line items; only those with an order of this delivery are rewritten."""
     table = "fact_order_line_item"
     old = before.get(table, [])
     reloaded = clean["line_products"].select("order_id")
@@ -132,8 +176,16 @@ def run_batch(warehouse: Warehouse, staging: dict[str, DataFrame], now: str) ->
         incoming_lines(clean, dimensions["dim_product"]),
         key_start=facts.highest_key(warehouse.read_folders(table, old), "line_item_key"),
     )
-    after[table] = [f for f in old if f not in touched] + warehouse.write(table, lines)
+    return [f for f in old if f not in touched] + warehouse.write(table, lines)
+
 
+def _load_orders(
+    warehouse: Warehouse,
+    before: Mapping[str, list[str]],
+    clean: Mapping[str, DataFrame],
+    dimensions: Mapping[str, DataFrame],
+) -> list[str]:
+    """Folders of the orders; only those with an order of this delivery are rewritten."""
     table = "fact_order"
     old = before.get(table, [])
     incoming = incoming_orders(clean, dimensions)
@@ -141,6 +193,4 @@ def run_batch(warehouse: Warehouse, staging: dict[str, DataFrame], now: str) ->
         incoming = warehouse.stage(incoming, "incoming_orders")
     touched = warehouse.touched(table, old, incoming)
     orders = facts.upsert_fact_order(warehouse.read_folders(table, touched), incoming)
-    after[table] = [f for f in old if f not in touched] + warehouse.write(table, orders)
-
-    warehouse.publish(after)
+    return [f for f in old if f not in touched] + warehouse.write(table, orders)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from bazaarlake.sources import paths
-from bazaarlake.sources.schemas import STAGING, WAREHOUSE
+from bazaarlake.sources.schemas import STAGING, WAREHOUSE, no_rows
 
 # Rewrite a table into one folder when its list grows past this.
 MOST_FOLDERS = 64
@@ -56,7 +56,7 @@ class Warehouse:
         if table in YEARLY:
             schema = StructType([*schema.fields, StructField("order_year", IntegerType())])
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
         return reader.parquet(*folders).select(*schema.names)
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from bazaarlake.functions.text import present
 from bazaarlake.sources import html, paths
-from bazaarlake.sources.schemas import STAGING
+from bazaarlake.sources.schemas import STAGING, no_rows
 
 SNIFF_BYTES = 1024
 HEADER_BYTES = 65_536
@@ -342,13 +342,13 @@ def ingest(
                     *as_text, "source_filename", "ingestion_date", "ingest_ordinal", "reject_reason"
                 )
             )
-    empty = spark.createDataFrame([], STAGING[table])
+    empty = no_rows(spark, STAGING[table])
     reasons = T.StructType(
         [T.StructField(c, T.StringType()) for c in job.required]
         + STAGING[table].fields[-3:]
         + [T.StructField("reject_reason", T.StringType())]
     )
-    no_reject = spark.createDataFrame([], reasons).select(
+    no_reject = no_rows(spark, reasons).select(
         *job.required, "source_filename", "ingestion_date", "ingest_ordinal", "reject_reason"
     )
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _LINEAGE = "source_filename string, ingestion_date timestamp, ingest_ordinal bigint"
@@ -110,6 +111,14 @@ STAGING = {name: _struct(f"{columns}, {_LINEAGE}") for name, columns in _STAGING
 WAREHOUSE = {name: _struct(columns) for name, columns in _WAREHOUSE.items()}
 
 
-def conform(df, schema: T.StructType):
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in its order and types."""
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(
+        *[f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in schema.fields]
+    )
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table the optimizer knows to be empty, so joins with it disappear."""
+    nothing = [f"cast(null as {f.dataType.simpleString()}) as `{f.name}`" for f in schema.fields]
+    return spark.range(1).where("false").selectExpr(*nothing)

@@ -8,9 +8,12 @@ delivers them again, later and with changed attributes (of the lines, the open o
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlake.lazy import LazyTables
 from bazaarlake.sources.schemas import STAGING, conform
 
 FIRST_NOW = "1996-06-01 00:00:00"
@@ -415,7 +418,7 @@ def stg_campaign_transactions(spark: SparkSession, sf_dir: str, batch: int = 1)
     return _deliver(rows, "stg_campaign_transactions", batch, key)
 
 
-def staging(spark: SparkSession, sf_dir: str, batch: int = 1) -> dict[str, DataFrame]:
+def staging(spark: SparkSession, sf_dir: str, batch: int = 1) -> LazyTables:
     makers = [
         stg_product_list,
         stg_line_items_products,
@@ -431,4 +434,4 @@ def staging(spark: SparkSession, sf_dir: str, batch: int = 1) -> dict[str, DataF
         stg_campaign,
         stg_campaign_transactions,
     ]
-    return {make.__name__: make(spark, sf_dir, batch) for make in makers}
+    return LazyTables({make.__name__: partial(make, spark, sf_dir, batch) for make in makers})
