@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlake.operators.ordinal import oversized
+
 SMALL_BASKET = 32
 _BITS = 4
 
@@ -18,9 +20,7 @@ def pair_counts(lines: DataFrame, label: str, small: int = SMALL_BASKET) -> Data
     summed per label, so the work follows the number of labels and not the square of the order.
     """
     weighted = lines.groupBy("order_id", "product_key", label).agg(F.count("*").alias("_n"))
-    large_orders = (
-        weighted.groupBy("order_id").count().filter(F.col("count") > small).select("order_id")
-    )
+    large_orders = oversized(weighted, "order_id", small)
     direct = _pair(
         weighted.join(large_orders, "order_id", "left_anti"), ["order_id"], "product_key", label
     )

@@ -204,7 +204,9 @@ def match_lines(clean_products: DataFrame, clean_prices: DataFrame) -> DataFrame
 def lines_with_product(matched: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Product key of the current version, whatever the date; unknown products are dropped."""
     current = dim_product.filter("is_current").select("product_id", "product_key")
-    return matched.join(current, "product_id")
+    return matched.join(current, "product_id").select(
+        "order_id", "line_item_seq", "product_key", "quantity", "unit_price", "line_total_amount"
+    )
 
 
 def replace_lines(

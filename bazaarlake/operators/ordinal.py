@@ -11,6 +11,17 @@ _CHUNKS = 4096
 _MIN_CHUNK = 65_536
 
 
+def oversized(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows.
+
+    The result has a shuffle of its own: adaptive execution then knows its true size before it
+    plans the joins with it, and drops both the join and the branch for large keys when there
+    are none.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    return counts.filter(F.col("_rows") > limit).select(key).repartition(key)
+
+
 def number_within(
     df: DataFrame, key: str, order: Sequence[str], name: str, hot_rows: int
 ) -> DataFrame:
@@ -21,7 +32,7 @@ def number_within(
     itself and shifted by the size of the chunks before it. With no large key, adaptive
     execution drops the second branch.
     """
-    hot = df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
+    hot = oversized(df, key, hot_rows)
     usual = df.join(hot, key, "left_anti")
     by_key = Window.partitionBy(key).orderBy(*order)
     usual = usual.withColumn(name, F.row_number().over(by_key).cast("long"))
@@ -31,11 +42,15 @@ def number_within(
 
 def _number_in_chunks(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
     *outer, position = order
-    width = df.select(
-        F.greatest(F.lit(_MIN_CHUNK), F.floor(F.max(position) / _CHUNKS) + 1)
-    ).scalar()
+    widths = df.groupBy(key).agg(
+        F.greatest(F.lit(_MIN_CHUNK), F.floor(F.max(position) / _CHUNKS) + 1).alias("_width")
+    )
     chunk = [key, *outer, "_chunk"]
-    cut = df.withColumn("_chunk", F.floor(F.col(position) / width))
+    cut = (
+        df.join(widths, key)
+        .withColumn("_chunk", F.floor(F.col(position) / F.col("_width")))
+        .drop("_width")
+    )
     sizes = cut.groupBy(*chunk).agg(F.count("*").alias("_size"))
     before = Window.partitionBy(key).orderBy(*outer, "_chunk")
     offsets = sizes.select(

@@ -170,10 +170,12 @@ def _load_lines(
     old = before.get(table, [])
     reloaded = clean["line_products"].select("order_id")
     touched = warehouse.touched(table, old, reloaded)
+    # Keys need the sizes of all key buckets and then the rows again: matched once, read twice.
+    incoming = warehouse.stage(incoming_lines(clean, dimensions["dim_product"]), "incoming_lines")
     lines = facts.replace_lines(
         warehouse.read_folders(table, touched),
         reloaded,
-        incoming_lines(clean, dimensions["dim_product"]),
+        incoming,
         key_start=facts.highest_key(warehouse.read_folders(table, old), "line_item_key"),
     )
     return [f for f in old if f not in touched] + warehouse.write(table, lines)

@@ -44,8 +44,8 @@ class Warehouse:
         lists = self.versions()
         if not lists:
             return {}
-        text = self.spark.read.text(lists[-1 if version is None else version - 1], wholetext=True)
-        return json.loads(text.first()[0])
+        newest = lists[-1 if version is None else version - 1]
+        return json.loads(paths.read_text(self.spark, newest))
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         return self.read_folders(table, self.folders(version).get(table, []))

@@ -44,6 +44,11 @@ def head(spark: SparkSession, path: str, limit: int) -> bytes:
         stream.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    return head(spark, path, 1 << 24).decode("utf-8")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Writes beside the target and renames, so readers see the old or the new text."""
     fs, hadoop_path, jvm = _open(spark, path)

@@ -32,12 +32,12 @@ _USER_NAME = (
     "CASE WHEN c_custkey % 83 = 5 THEN NULL WHEN c_custkey % 79 = 5 THEN 'NaN' "
     "WHEN c_custkey % 7 = 0 THEN 'mary-jane o''brien ' || c_custkey ELSE lower(c_name) END"
 )
+_PRIME = 2147483647
 _POSITION = (
-    "CAST('0x' || left(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-    "CAST(l_quantity AS INTEGER), CAST(l_extendedprice AS DECIMAL(18,2)), "
-    "CAST(l_discount AS DECIMAL(18,2)), CAST(l_tax AS DECIMAL(18,2)), l_returnflag, "
-    "l_linestatus, CAST(l_shipdate AS DATE))), 15) AS BIGINT)"
-)
+    "(((CAST(l_linenumber AS BIGINT) * 1000003 + l_partkey) % {p} * 1000003 + l_suppkey) % {p} "
+    "* 1000003 + CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) % {p} * 4096 "
+    "+ (CAST(floor(l_quantity) AS BIGINT) * 64 + l_linenumber) % 4096"
+).format(p=_PRIME)
 _PLACED_SUPPLIER = (
     "(SELECT * FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey "
     "LEFT JOIN region ON n_regionkey = r_regionkey)"
