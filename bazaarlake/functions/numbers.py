@@ -18,8 +18,9 @@ def money(total: Column) -> Column:
 
 def quotient(numerator: Column, denominator: Column, places: int = 2) -> Column:
     """numerator / denominator rounded to ``places``; NULL for a zero denominator."""
-    below = F.nullif(denominator.cast(_WIDE), F.lit(0).cast(_WIDE))
-    return F.round(numerator.cast(_WIDE) / below, places).cast("double")
+    below = denominator.cast(_WIDE)
+    exact = F.round(numerator.cast(_WIDE) / below, places)
+    return F.when(below != 0, exact).cast("double")
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:

@@ -65,7 +65,7 @@ def top_campaign_names(star: Star, fact: DataFrame) -> DataFrame:
 
 def top_campaign_days(star: Star, fact: DataFrame) -> DataFrame:
     """Net per day and campaign, last 12 months, for the five best campaigns of ``fact``."""
-    recent = trailing(star.fact_order, "12 months")
+    recent = trailing(star, months=12)
     if fact is not star.fact_order:
         recent = recent.filter("availed_flag")
     chosen = star.dim_campaign.join(top_campaign_names(star, fact), "campaign_name", "left_semi")

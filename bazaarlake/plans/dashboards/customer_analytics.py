@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.dates import age_years, date_key
+from bazaarlake.functions.dates import age_years
 from bazaarlake.functions.numbers import mean, money, percent
 from bazaarlake.functions.text import label
 from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.star import (
     Star,
+    before,
     by_dimension,
     high,
-    last_order_date,
     low,
     net_measures,
+    orders_since,
     top,
 )
 
@@ -61,15 +62,11 @@ def cust_repeat_rate_30d(star: Star, anchor: str = "calendar") -> DataFrame:
     is 0 in practice; ``last_order`` counts back from the last order.
     """
     if anchor == "calendar":
-        last = star.dim_date.agg(F.max("full_date").alias("last_date"))
+        last = star.dim_date.agg(F.max("full_date")).first()[0]
     else:
-        last = last_order_date(star.fact_order)
-    bound = last.select(date_key(F.date_sub("last_date", 30))).scalar()
-    per_customer = (
-        star.fact_order.filter(F.col("transaction_date_key") >= bound)
-        .groupBy("customer_key")
-        .agg(F.count("*").alias("orders"))
-    )
+        last = star.last_order_date
+    recent = orders_since(star, None if last is None else before(last, days=30))
+    per_customer = recent.groupBy("customer_key").agg(F.count("*").alias("orders"))
     rate = percent(F.count_if(F.col("orders") > 1), F.count("*"))
     return per_customer.agg(F.coalesce(rate, F.lit(0.0)).alias("repeat_purchase_rate"))
 

@@ -37,7 +37,7 @@ def per_country(star: Star) -> DataFrame:
 
 
 def delay_by_month(star: Star) -> DataFrame:
-    recent = trailing(star.fact_order, "12 months")
+    recent = trailing(star, months=12)
     days = by_day(
         recent,
         star.dim_date,

@@ -39,18 +39,18 @@ def exec_aov(star: Star) -> DataFrame:
 
 def exec_active_customers_30d(star: Star) -> DataFrame:
     """Orders of unknown customers count as one customer."""
-    recent = trailing(star.fact_order, "30 days")
+    recent = trailing(star, days=30)
     return scalars.distinct_of(recent, "customer_key", "active_customers")
 
 
 def exec_revenue_daily_12m(star: Star) -> DataFrame:
-    recent = trailing(star.fact_order, "12 months")
+    recent = trailing(star, months=12)
     days = by_day(recent, star.dim_date, [F.sum("net_order_amount").alias("net")])
     return days.select("full_date", money(F.col("net")).alias("revenue")).orderBy("full_date")
 
 
 def exec_orders_daily_12m(star: Star) -> DataFrame:
-    recent = trailing(star.fact_order, "12 months")
+    recent = trailing(star, months=12)
     days = by_day(recent, star.dim_date, [F.count("*").alias("orders")])
     return days.select("full_date", "orders").orderBy("full_date")
 

@@ -57,17 +57,17 @@ def time_mom_growth(star: Star, anchor: str = "max_month") -> DataFrame:
 
 
 def time_rev_30d(star: Star) -> DataFrame:
-    recent = trailing(star.fact_order, "30 days")
+    recent = trailing(star, days=30)
     return scalars.total_of(recent, "net_order_amount", "current_month_revenue")
 
 
 def time_orders_30d(star: Star) -> DataFrame:
-    return scalars.row_count(trailing(star.fact_order, "30 days"), "current_month_orders")
+    return scalars.row_count(trailing(star, days=30), "current_month_orders")
 
 
-def _monthly(star: Star, back: str) -> DataFrame:
+def _monthly(star: Star, months: int) -> DataFrame:
     net = [F.sum("net_order_amount").alias("net"), F.count("*").alias("orders")]
-    days = by_day(trailing(star.fact_order, back), star.dim_date, net)
+    days = by_day(trailing(star, months), star.dim_date, net)
     return (
         days.groupBy(year_month(F.col("full_date")).alias("year_month"), "month_name", "year")
         .agg(F.sum("net").alias("net"), F.sum("orders").alias("orders"))
@@ -77,19 +77,19 @@ def _monthly(star: Star, back: str) -> DataFrame:
 
 
 def time_revenue_monthly_24m(star: Star) -> DataFrame:
-    return _monthly(star, "24 months").select(
+    return _monthly(star, 24).select(
         "year_month", "period", money(F.col("net")).alias("revenue")
     )
 
 
 def time_orders_daily_12m(star: Star) -> DataFrame:
-    recent = trailing(star.fact_order, "12 months")
+    recent = trailing(star, months=12)
     days = by_day(recent, star.dim_date, [F.count("*").alias("orders")])
     return days.select("full_date", "orders").orderBy("full_date")
 
 
 def time_aov_monthly_12m(star: Star) -> DataFrame:
-    return _monthly(star, "12 months").select(
+    return _monthly(star, 12).select(
         "year_month", "period", mean(F.col("net"), F.col("orders")).alias("average_order_value")
     )
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from datetime import date, timedelta
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.dates import date_key, key_date
+from bazaarlake.functions.dates import key_date
 from bazaarlake.plans.batch import run_batch
 from bazaarlake.plans.store import Warehouse
 from bazaarlake.session import shared_dir
@@ -27,7 +30,12 @@ class Star:
     dim_date: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+    @cached_property
+    def last_order_date(self) -> date | None:
+        """Last date with orders: one number, read once for all trailing windows."""
+        return self.fact_order.agg(key_date(F.max("transaction_date_key"))).first()[0]
 
 
 def read_star(warehouse: Warehouse, version: int | None = None) -> Star:
@@ -121,24 +129,31 @@ def by_dimension(
     return joined.groupBy(*labels).agg(*[F.sum(n).alias(n) for n in names])
 
 
-def last_order_date(fact: DataFrame) -> DataFrame:
-    """One row: the last date with orders."""
-    return fact.select(key_date(F.max("transaction_date_key")).alias("last_date"))
+def before(day: date, months: int = 0, days: int = 0) -> date:
+    """``day`` minus months (clamped to the end of a shorter month) and days."""
+    year, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    last = calendar.monthrange(year, month + 1)[1]
+    return date(year, month + 1, min(day.day, last)) - timedelta(days=days)
 
 
-def trailing(fact: DataFrame, back: str) -> DataFrame:
-    """Orders from ``back`` (an interval) before the last order date on.
+def orders_since(star: Star, first: date | None) -> DataFrame:
+    """Orders from a day on.
 
-    The bound is an integer key, so it reaches the scan, and a year, so it prunes folders.
+    The bound is a literal on the integer date key, so it prunes year folders and, since files
+    are sorted by that key, row groups.
     """
-    bound = last_order_date(fact).select(
-        date_key((F.col("last_date") - F.expr(f"interval {back}")).cast("date"))
-    )
-    recent = F.col("transaction_date_key") >= bound.scalar()
-    if "order_year" in fact.columns:
-        year = bound.select(F.floor(F.col(bound.columns[0]) / 10000).cast("int"))
-        recent = recent & (F.col("order_year") >= year.scalar())
-    return fact.filter(recent)
+    if first is None:
+        return star.fact_order.filter("false")
+    recent = F.col("transaction_date_key") >= first.year * 10000 + first.month * 100 + first.day
+    if "order_year" in star.fact_order.columns:
+        recent = recent & (F.col("order_year") >= first.year)
+    return star.fact_order.filter(recent)
+
+
+def trailing(star: Star, months: int = 0, days: int = 0) -> DataFrame:
+    """Orders from the given time before the last order date on."""
+    last = star.last_order_date
+    return orders_since(star, None if last is None else before(last, months, days))
 
 
 def by_day(fact: DataFrame, dim_date: DataFrame, measures: Sequence[Column]) -> DataFrame:
