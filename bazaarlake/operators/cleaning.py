@@ -21,6 +21,7 @@ from bazaarlake.functions.text import (
     title_or_unknown,
 )
 from bazaarlake.operators.latest import LINEAGE, newest_per
+from bazaarlake.operators.lookup import left_lookup
 from bazaarlake.operators.ordinal import number_within
 
 LINE_ORDER = ["ingestion_date", "source_filename", "ingest_ordinal"]
@@ -104,11 +105,9 @@ def clean_order_merchant(
         F.min("merchant_bk").alias("merchant_bk")
     )
     staff = staff_identity.groupBy("staff_id").agg(F.min("staff_bk").alias("staff_bk"))
-    return (
-        newest.join(merchants, "merchant_id", "left")
-        .join(staff, "staff_id", "left")
-        .select("order_id", "merchant_id", "merchant_bk", "staff_id", "staff_bk", *LINEAGE)
-    )
+    keyed = left_lookup(newest, merchants, "merchant_id", "order_id")
+    keyed = left_lookup(keyed, staff, "staff_id", "order_id")
+    return keyed.select("order_id", "merchant_id", "merchant_bk", "staff_id", "staff_bk", *LINEAGE)
 
 
 # --- campaigns and products -----------------------------------------------------------------

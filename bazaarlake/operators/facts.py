@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from bazaarlake.functions.dates import date_key
 from bazaarlake.operators.latest import first_per
+from bazaarlake.operators.lookup import left_lookup, spread_missing
 from bazaarlake.operators.ordinal import highest_key, surrogate_keys
 from bazaarlake.sources.schemas import WAREHOUSE, conform
 
-_NULL_SPREAD = 1024
 _LINES_PER_KEY_CHUNK = 65_536
 
 # Columns an order already loaded takes over from a later delivery; all others stay.
@@ -47,15 +47,6 @@ def order_metrics(line_prices: DataFrame) -> DataFrame:
     )
 
 
-def _spread_missing(key: str, by: str) -> Column:
-    """The key, or a value that matches nothing and differs from row to row when it is missing.
-
-    Rows without a key would otherwise all go to one join task.
-    """
-    filler = F.concat(F.lit("~"), F.pmod(F.xxhash64(by), F.lit(_NULL_SPREAD)).cast("string"))
-    return F.coalesce(F.col(key), filler)
-
-
 def as_of_version(
     rows: DataFrame, dimension: DataFrame, on: str, at: str, key: str, effective: str
 ) -> DataFrame:
@@ -74,7 +65,7 @@ def as_of_version(
     valid = (moment >= F.col(effective)) & (F.col("_end").isNull() | (moment < F.col("_end")))
     matched = F.col("_lookup") == F.col("_on")
     return (
-        rows.withColumn("_lookup", _spread_missing(on, "order_id"))
+        rows.withColumn("_lookup", spread_missing(on, "order_id"))
         .join(versions, matched & valid, "left")
         .drop("_lookup", "_on", "_end")
     )
@@ -135,12 +126,9 @@ def build_fact_order(
         versioned.join(metrics, "order_id")
         .join(campaigns, "order_id", "left")
         .join(delays.select("order_id", "delay_in_days"), "order_id", "left")
-        .join(
-            dim_campaign.select("campaign_id", "campaign_key", "discount_value"),
-            "campaign_id",
-            "left",
-        )
     )
+    rates = dim_campaign.select("campaign_id", "campaign_key", "discount_value")
+    joined = left_lookup(joined, rates, "campaign_id", "order_id")
     unknown = F.lit(-1)
     availed = F.coalesce(F.col("availed"), F.lit(False))
     total = F.coalesce(F.col("order_total_amount"), F.lit(0)).cast("decimal(18,2)")

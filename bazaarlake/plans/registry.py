@@ -249,6 +249,19 @@ def ingest_file_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.groupBy("table_name", "kind").agg(F.sum("row_count").alias("row_count"))
 
 
+def ingest_staging_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every staging table after the delivery has replaced them."""
+    root = delivery(spark, sf_dir)
+    files.load_staging(spark, root, f"{root}-staging", tpch_files.LOAD_TIME)
+    counts = [
+        rows.agg(F.count("*").alias("row_count")).select(
+            F.lit(table).alias("table_name"), "row_count"
+        )
+        for table, rows in files.read_staging(spark, f"{root}-staging").items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def ingest_row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and distinct (file, position) pairs of the scanned product lines."""
     valid, _ = files.ingest(
@@ -292,6 +305,7 @@ def queries() -> dict[str, Query]:
         batch_row_counts,
         ingest_orders_rejected,
         ingest_file_discovery,
+        ingest_staging_counts,
         ingest_row_ordinal,
         html_table_scan,
     ]:

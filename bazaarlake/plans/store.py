@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +18,19 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from bazaarlake.sources import paths
 from bazaarlake.sources.schemas import STAGING, WAREHOUSE, no_rows
 
-# Rewrite a table into one folder when its list grows past this.
-MOST_FOLDERS = 64
+# Past this many folders a load also joins the smaller half of them.
+MOST_FOLDERS = 256
 
 # Facts are cut by the year of the order; a trailing window then reads one or two folders.
 YEARLY = {"fact_order"}
 
+_FOLDER_NAME = r"(load=[0-9a-f]+(?:/order_year=-?[0-9]+)?)/[^/]+$"
+
+
+def _folder_name(folder: str) -> str:
+    """The part of a folder that tells it from the others of its table."""
+    return folder[folder.index("load=") :].rstrip("/")
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -50,15 +56,21 @@ class Warehouse:
     def read(self, table: str, version: int | None = None) -> DataFrame:
         return self.read_folders(table, self.folders(version).get(table, []))
 
-    def read_folders(self, table: str, folders: Sequence[str]) -> DataFrame:
-        """The table with its fixed schema; ``order_year`` comes along for yearly tables."""
+    def read_folders(
+        self, table: str, folders: Sequence[str], with_file: bool = False
+    ) -> DataFrame:
+        """The table with its fixed schema; ``order_year`` comes along for yearly tables.
+
+        ``with_file`` leaves the scan as it is, so the file of each row can be asked for.
+        """
         schema = WAREHOUSE.get(table) or STAGING[table]
         if table in YEARLY:
             schema = StructType([*schema.fields, StructField("order_year", IntegerType())])
         if not folders:
             return no_rows(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
-        return reader.parquet(*folders).select(*schema.names)
+        rows = reader.parquet(*folders)
+        return rows if with_file else rows.select(*schema.names)
 
     # --- writing ---
 
@@ -91,24 +103,25 @@ class Warehouse:
         paths.write_text(self.spark, f"{self.root}/tables.{number}", json.dumps(folders))
 
     def touched(self, table: str, folders: Sequence[str], order_ids: DataFrame) -> list[str]:
-        """Folders that hold any of the given orders: the only ones a reload rewrites.
+        """Folders a reload rewrites: those that hold any of the given orders.
 
-        Only the order id column is read. At most one row per folder reaches the driver.
+        One scan of the order id column; at most one row per folder reaches the driver. When the
+        list has grown long, the smaller half of the folders is taken along, so large old ones
+        are left alone.
         """
         if not folders:
             return []
-        parts = [
-            self.read_folders(table, [folder]).select("order_id", F.lit(i).alias("_folder"))
-            for i, folder in enumerate(folders)
-        ]
+        name = F.regexp_extract("_metadata.file_path", _FOLDER_NAME, 1)
         hit = (
-            reduce(DataFrame.unionByName, parts)
+            self.read_folders(table, folders, with_file=True)
+            .select("order_id", name.alias("_folder"))
             .join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
             .select("_folder")
             .distinct()
             .collect()
         )
-        numbers = {row[0] for row in hit}
+        taken = {row[0] for row in hit}
         if len(folders) > MOST_FOLDERS:
-            return list(folders)
-        return [folder for i, folder in enumerate(folders) if i in numbers]
+            by_size = sorted(folders, key=lambda folder: paths.size_of(self.spark, folder))
+            taken.update(_folder_name(folder) for folder in by_size[: len(folders) // 2])
+        return [folder for folder in folders if _folder_name(folder) in taken]

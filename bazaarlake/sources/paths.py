@@ -32,6 +32,12 @@ def folders_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f for f in found if not f.rsplit("/", 1)[1].startswith((".", "_")))
 
 
+def size_of(spark: SparkSession, folder: str) -> int:
+    """Bytes in a folder and below."""
+    fs, hadoop_path, _ = _open(spark, folder)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def head(spark: SparkSession, path: str, limit: int) -> bytes:
     """The first ``limit`` bytes of a file."""
     fs, hadoop_path, jvm = _open(spark, path)

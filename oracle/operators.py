@@ -340,6 +340,11 @@ SQL: dict[str, str] = {
         f"FROM stg_orders WHERE {_BAD_DATE} OR {_NO_USER} OR {_NO_ARRIVAL}"
     ),
 }
+SQL["ingest_staging_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+    + (f" WHERE NOT ({_BAD_DATE}) AND NOT {_NO_USER} AND NOT ({_NO_ARRIVAL})" if t == "stg_orders" else "")
+    for t in _FILES
+)
 SQL.update({f"ingest_{t}": _ingested(t) for t in _FILES if t != "stg_orders"})
 for _table, _columns in _DIMENSIONS.items():
     SQL[f"{_table}_load"] = _select(_columns, _table)

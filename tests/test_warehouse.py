@@ -250,3 +250,39 @@ def test_ranked_dedup_prunes_before_the_shuffle(spark):
     orders = cleaning.clean_orders(table(spark, "stg_orders", [("O1", "U1", "1", "2023-01-01")]))
     plan = orders._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_a_reload_rewrites_only_folders_with_its_orders(spark, warehouse):
+    run_batch(warehouse, shop(spark), "2024-01-01 09:00:00")
+    other = [("O9", "U1", "1days", "2019-01-01")]
+    run_batch(
+        warehouse,
+        shop(
+            spark,
+            day=2,
+            stg_orders=other,
+            stg_line_items_products=[("O9", "shirt", "p1")],
+            stg_line_items_prices=[("O9", "1.00", "1")],
+        ),
+        "2024-01-02 09:00:00",
+    )
+    first, second = warehouse.folders(1), warehouse.folders(2)
+    for fact in ["fact_order", "fact_order_line_item"]:
+        assert set(first[fact]) < set(second[fact])
+    star = read_star(warehouse)
+    assert sorted(r.order_id for r in star.fact_order.collect()) == ["O1", "O2", "O3", "O9"]
+    keys = [r.line_item_key for r in star.fact_order_line_item.collect()]
+    assert len(keys) == 5 and len(set(keys)) == 5
+
+
+def test_a_long_folder_list_takes_the_smaller_half_along(spark, warehouse, monkeypatch):
+    from bazaarlake.plans import store
+
+    run_batch(warehouse, shop(spark), "2024-01-01 09:00:00")
+    lines = warehouse.read("fact_order_line_item")
+    folders = warehouse.folders()["fact_order_line_item"]
+    folders += warehouse.write("fact_order_line_item", lines.limit(1))
+    nothing = lines.filter("false")
+    assert warehouse.touched("fact_order_line_item", folders, nothing) == []
+    monkeypatch.setattr(store, "MOST_FOLDERS", 1)
+    assert len(warehouse.touched("fact_order_line_item", folders, nothing)) == 1
