@@ -9,6 +9,7 @@ from bazaarlake.operators.ordinal import oversized
 
 SMALL_BASKET = 32
 _BITS = 4
+_LEVELS = 16
 
 
 def pair_counts(lines: DataFrame, label: str, small: int = SMALL_BASKET) -> DataFrame:
@@ -49,13 +50,18 @@ def _pair(weighted: DataFrame, on: list[str], rank: str, label: str) -> DataFram
 
 
 def _blocks(weighted: DataFrame, label: str) -> DataFrame:
-    """Per level, the block a key lies in and its digit inside, weights summed per label."""
-    digits = weighted.select(
-        F.ceil(F.length(F.hex(F.coalesce(F.max("product_key"), F.lit(0))))).cast("int")
-    ).scalar()
+    """Per level, the block a key lies in and its digit inside, weights summed per label.
+
+    All 16 digits of a long get a level, so no pass is needed to find the largest key.
+    """
     return (
-        weighted.withColumn("_level", F.explode(F.sequence(F.lit(0), digits - 1)))
-        .withColumn("_block", F.expr(f"shiftright(product_key, {_BITS} * (_level + 1))"))
+        weighted.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))))
+        .withColumn(
+            "_block",
+            F.when(F.col("_level") == _LEVELS - 1, F.lit(0)).otherwise(
+                F.expr(f"shiftright(product_key, {_BITS} * (_level + 1))")
+            ),
+        )
         .withColumn("_digit", F.expr(f"shiftright(product_key, {_BITS} * _level) & 15"))
         .groupBy("order_id", "_level", "_block", "_digit", label)
         .agg(F.sum("_n").alias("_n"))

@@ -222,10 +222,6 @@ _SPELLED = (
 )
 
 SQL: dict[str, str] = {
-    "identity_user": "SELECT * EXCLUDE (source_filename, ingestion_date, ingest_ordinal) FROM user_identity",
-    "identity_merchant": "SELECT * EXCLUDE (source_filename, ingestion_date, ingest_ordinal) FROM merchant_identity",
-    "identity_staff": "SELECT * EXCLUDE (source_filename, ingestion_date, ingest_ordinal) FROM staff_identity",
-    "identity_product": "SELECT * EXCLUDE (source_filename, ingestion_date, ingest_ordinal) FROM product_identity",
     "clean_orders": _clean(
         "order_id, user_id, estimated_arrival, transaction_date:d", "clean_orders"
     ),
@@ -346,6 +342,11 @@ SQL["ingest_staging_counts"] = " UNION ALL ".join(
     for t in _FILES
 )
 SQL.update({f"ingest_{t}": _ingested(t) for t in _FILES if t != "stg_orders"})
+for _kind in ["user", "merchant", "staff", "product"]:
+    SQL[f"identity_{_kind}"] = (
+        "SELECT * EXCLUDE (source_filename, ingestion_date, ingest_ordinal) "
+        f"FROM {_kind}_identity"
+    )
 for _table, _columns in _DIMENSIONS.items():
     SQL[f"{_table}_load"] = _select(_columns, _table)
     SQL[f"{_table}_reload"] = _select(_columns, f"{_table}_b2")

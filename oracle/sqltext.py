@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 
 def title(x: str) -> str:
-    """PostgreSQL INITCAP."""
+    """Capital after every character that is neither letter nor digit, lower case elsewhere."""
     runs = rf"regexp_extract_all(lower({x}), '([\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+)')"
     return f"array_to_string(list_transform({runs}, lambda t: upper(t[1]) || t[2:]), '')"
 
@@ -21,11 +23,12 @@ def title_known(x: str) -> str:
 
 
 def as_is_known(x: str, default: str = "Unknown") -> str:
-    return f"CASE WHEN lower(trim({x})) IN ('nan', '') OR {x} IS NULL THEN '{default}' ELSE trim({x}) END"
+    missing = f"{x} IS NULL OR lower(trim({x})) IN ('nan', '')"
+    return f"CASE WHEN {missing} THEN '{default}' ELSE trim({x}) END"
 
 
 def lower_known(x: str) -> str:
-    return f"CASE WHEN lower(trim({x})) IN ('nan', '') OR {x} IS NULL THEN 'unknown' ELSE lower(trim({x})) END"
+    return f"lower({as_is_known(x, 'unknown')})"
 
 
 def digits(x: str) -> str:
@@ -89,8 +92,6 @@ def money(x: str) -> str:
 
 def with_tables(tables: dict[str, str], query: str) -> str:
     """The query behind a WITH list of the tables it uses, directly or through others."""
-    import re
-
     word = re.compile(r"[a-z_][a-z_0-9]*")
     ordered: list[str] = []
 

@@ -59,7 +59,7 @@ def test_pair_counts(spark, small):
     rows = []
     for i in range(600):
         order = "hot" if i % 3 == 0 else f"o{random.randrange(60)}"
-        product = random.choice([1, 2, 15, 16, 17, 31, 32, 255, 256, 257, 4095, 4096, 70000])
+        product = random.choice([1, 2, 15, 16, 17, 31, 32, 255, 256, 257, 4095, 4096, 70000, 1 << 45])
         rows.append((order, product, f"type{product % 4}"))
     df = spark.createDataFrame(rows, "order_id string, product_key bigint, label string")
     expected = Counter()
