@@ -8,18 +8,19 @@ import pytest
 
 import __spark_entry__ as registered
 import compare
-from bazaarlake.plans import star
+from bazaarlake.plans import registry, star
+from oracle import all_sql
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not there")
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registry.queries()) == set(all_sql.oracle_sql())
 
 
 def test_results_match(spark):
-    queries, sql = registered.queries(), registered.oracle_sql()
+    queries, sql = registry.queries(), all_sql.oracle_sql()
     star.driver_star(spark, SF)
     star.second_star(spark, SF)
     queries["ingest_stg_campaign"](spark, SF)
