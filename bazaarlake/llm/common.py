@@ -64,6 +64,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def stage_buckets(df: DataFrame, key: str) -> DataFrame:
+    """As ``stage``, in buckets of ``key``: joins on it leave these rows where they are."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", folder).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
 def forget(*staged: DataFrame) -> None:
     """Deletes the folders of staged tables nothing reads any more."""
     for df in staged:
@@ -119,11 +129,3 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     total *= _FINAL
     total ^= total >> np.uint64(32)
     return total
-
-
-def overlaps(starts: np.ndarray, length: int, n_words: int) -> np.ndarray:
-    """Per word whether a window of ``length`` words from any of ``starts`` covers it."""
-    edges = np.zeros(n_words + 1, np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, np.minimum(starts + length, n_words), -1)
-    return np.cumsum(edges[:-1]) > 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontaminate, licenses, mixing, near_dedup, rules, sharding
+from bazaarlake.llm import decontaminate, licenses, mixing, near_dedup, phrases, rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,8 +66,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def queries() -> dict[str, Query]:
-    found = [op2_near_dedup, op3_sharding, op4_licenses, op5_mixing, op7_decontamination, op9_quality_rules]
+    found = [op2_near_dedup, op3_sharding, op4_licenses, op5_mixing, op7_decontamination, op9_quality_rules, op10_substring_dedup]
     return {query.__name__: query for query in found}
 
 
