@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontaminate, licenses, mixing, near_dedup, phrases, rules, sharding
+from bazaarlake.llm import (
+    decontaminate,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dedup,
+    phrases,
+    rules,
+    sharding,
+    site_quality,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).drop("text")
+    return scored.withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -45,6 +63,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_matches(docs, table(spark, sf_dir, "benchmark"))
@@ -59,6 +81,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_later_lines(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.quality_rules(docs, table(spark, sf_dir, "labels")).select(
@@ -71,7 +100,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op2_near_dedup, op3_sharding, op4_licenses, op5_mixing, op7_decontamination, op9_quality_rules, op10_substring_dedup]
+    found = [
+        op1_toxicity,
+        op2_near_dedup,
+        op3_sharding,
+        op4_licenses,
+        op5_mixing,
+        op6_site_quality,
+        op7_decontamination,
+        op8_line_dedup,
+        op9_quality_rules,
+        op10_substring_dedup,
+    ]
     return {query.__name__: query for query in found}
 
 
