@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from bazaarlake.llm.common import no_columns_missing, plain_words
 
 # The model is fitted on at most this many labelled rows, those with the smallest key hashes.
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 MOST_FEATURES = 4_096
 LEAST_DOCUMENTS = 3
 STEPS, RATE, DECAY = 250, 0.1, 5e-5
@@ -72,20 +73,25 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     toxic = toxic.astype(float)
     if not 0 < toxic.sum() < len(toxic):
         return Model({}, -20.0 if not toxic.sum() else 20.0)
-    bags = [[words for _, words in sentences(text)] for text in texts]
-    inside: dict[bytes, list[int]] = {}
-    for d, bag in enumerate(bags):
-        for feature in {f for words in bag for w in words for f in features_of(w)}:
-            inside.setdefault(feature, []).append(d)
+    # Words are shared objects, and features are only counted: memory follows the vocabulary.
+    shared: dict[bytes, bytes] = {}
+    bags = [[[shared.setdefault(w, w) for w in words] for _, words in sentences(text)] for text in texts]
+    inside, hit = Counter(), Counter()
+    for bag, label in zip(bags, toxic):
+        present = {f for word in {w for words in bag for w in words} for f in features_of(word)}
+        inside.update(present)
+        if label:
+            hit.update(present)
     chosen = []
     total, positive = len(toxic), toxic.sum()
     for feature, docs in inside.items():
-        if len(docs) < LEAST_DOCUMENTS:
+        if docs < LEAST_DOCUMENTS:
             continue
-        hits = toxic[docs].sum()
-        odds = np.log((hits + 0.5) / (positive + 1)) - np.log((len(docs) - hits + 0.5) / (total - positive + 1))
-        spread = np.sqrt(1 / (hits + 0.5) + 1 / (len(docs) - hits + 0.5))
+        hits = hit[feature]
+        odds = np.log((hits + 0.5) / (positive + 1)) - np.log((docs - hits + 0.5) / (total - positive + 1))
+        spread = np.sqrt(1 / (hits + 0.5) + 1 / (docs - hits + 0.5))
         chosen.append((abs(odds) / spread, feature))
+    del inside, hit
     names = [f for _, f in sorted(chosen, reverse=True)[:MOST_FEATURES]]
     number = {f: i for i, f in enumerate(names)}
     rows, cols, owner = [], [], []
