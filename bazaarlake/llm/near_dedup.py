@@ -199,10 +199,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     1. Every text becomes its set size, a fingerprint of the set and a SetSketch. Rows of one
        fingerprint are one node from here on, so exact copies never pair up.
-    2. Register bands put nodes into buckets; each node is paired with the first of its bucket,
+    2. Register bands put nodes into buckets; each node is paired with the hub of its bucket,
        never with all others. Pairs are estimated from the registers, then verified on full sets.
     3. Links make components. Buckets that still hold several components pair their minority
-       members with the members of other components, so a link that misses the first of its
+       members with the members of other components, so a link that misses the hub of its
        bucket is found too; these pairs are estimated and verified alike.
     4. The component id is the smallest document id of the component.
 
@@ -252,15 +252,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """Members of every band value that two or more nodes share, with the first of them."""
+    """Members of every band value that two or more nodes share, with the hub of the bucket.
+
+    The hub is the member that shares its bands with most others. An original is nearer to each
+    of its edited copies than these are to one another, so it becomes the hub of all its buckets
+    and links the copies in one step.
+    """
     members = nodes.select("print", "n", F.explode("bands").alias("band"))
-    firsts = (
-        members.groupBy("band")
-        .agg(F.min(F.struct("print", "n")).alias("first"), F.count("*").alias("members"))
-        .filter("members > 1")
-        .drop("members")
-    )
-    return members.join(firsts, "band")
+    sizes = members.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
+    shared = stage(members.join(sizes, "band"), "shared")
+    popular = shared.groupBy("print").agg(F.sum("members").alias("company"))
+    known = shared.join(popular, "print").select("band", "print", "n", "company")
+    hubs = known.groupBy("band").agg(F.max(F.struct("company", "print", "n")).alias("first"))
+    return known.drop("company").join(hubs, "band")
 
 
 def _star_pairs(buckets: DataFrame) -> DataFrame:
@@ -295,7 +299,7 @@ def _cross_pairs(buckets: DataFrame, parts: DataFrame) -> DataFrame:
     return (
         probes.join(others, "band")
         .filter((F.col("root") != F.col("root_a")) & _similar_sizes("n_a", "n_b"))
-        # The first of a bucket has met all its members already; a pair from both sides is one.
+        # A pair found from both sides is one.
         .select(
             F.least("a", "b").alias("a"),
             F.greatest("a", "b").alias("b"),
