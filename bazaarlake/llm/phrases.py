@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -19,8 +20,11 @@ WINDOW = 20
 ANCHOR = 6
 # Documents whose phrases go into one automaton.
 SHARD_DOCS = 256
+# Words of short texts handled in one go.
+RUN_WORDS = 200_000
 _LAST = (1 << 63) - 1
 _NUMBER = np.uint64(1 << 63)
+_LETTERS = 500_000
 
 
 # --- task side ------------------------------------------------------------------------------
@@ -35,7 +39,7 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     least, at = phrases[:n].copy(), np.zeros(n, np.int64)
     for j in range(1, window - ANCHOR + 1):
         smaller = phrases[j : j + n] < least
-        least[smaller] = phrases[j : j + n][smaller]
+        np.copyto(least, phrases[j : j + n], where=smaller)
         at[smaller] = j
     return phrases, at + np.arange(n)
 
@@ -44,38 +48,65 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
     return (hashes ^ _NUMBER).view(np.int64)
 
 
+class TextRun:
+    """Some texts of a batch laid end to end, so that arrays are long whatever the texts are."""
+
+    def __init__(self, texts: list[list[bytes]], known: WordHashes, window: int):
+        self.texts = texts
+        self.begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        words = [w for text in texts for w in text]
+        self.phrases, at = anchors(known.of(words), window)
+        owner = np.repeat(np.arange(len(texts)), np.diff(self.begins))
+        # A window belongs to a text only if it ends in it.
+        inside = owner[: len(at)] == owner[window - 1 :] if len(at) else np.empty(0, bool)
+        self.windows = np.flatnonzero(inside)
+        self.at = at[self.windows]
+        self.owner = owner[self.windows]
+
+    @classmethod
+    def of(cls, column: pa.Array, known: WordHashes, window: int) -> Iterator[tuple[int, TextRun]]:
+        """The texts of a column in runs of bounded length, each with the place of its first."""
+        texts: list[list[bytes]] = []
+        first, size = 0, 0
+        for i, text in enumerate(column):
+            texts.append(space_words(text.as_py()))
+            size += len(texts[-1])
+            if size >= RUN_WORDS:
+                yield first, cls(texts, known, window)
+                texts, first, size = [], i + 1, 0
+        if texts:
+            yield first, cls(texts, known, window)
+
+
 def _summaries(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            sizes, digests, found = [], [], []
-            for text in batch.column("text"):
-                words = space_words(text.as_py())
-                sizes.append(len(words))
-                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                phrases, at = anchors(known.of(words), window)
-                found.append(_signed(phrases[np.unique(at)]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("row"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.string()),
-                    pa.array(found, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "row", "n_words", "sha256", "anchors"],
-            )
+            for first, texts in TextRun.of(batch.column("text"), known, window):
+                piece = batch.slice(first, len(texts.texts))
+                chosen = np.flatnonzero(np.diff(texts.at, prepend=-1))
+                # One anchor place can serve windows of one text only, so runs tell them apart.
+                counts = np.bincount(texts.owner[chosen], minlength=len(texts.texts))
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                found = _signed(texts.phrases[texts.at[chosen]])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id"),
+                        piece.column("row"),
+                        pa.array([len(t) for t in texts.texts], pa.int64()),
+                        pa.array([hashlib.sha256(b" ".join(t)).hexdigest() for t in texts.texts], pa.string()),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(found, pa.int64())),
+                    ],
+                    ["doc_id", "row", "n_words", "sha256", "anchors"],
+                )
 
     return run
 
 
-def _stretches(at: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of windows that share a wanted anchor."""
-    edges = np.flatnonzero(np.diff(at)) + 1
-    starts = np.concatenate([[0], edges]).astype(np.int64)
-    ends = np.concatenate([edges, [len(at)]]).astype(np.int64)
-    chosen = wanted[at[starts]]
-    return starts[chosen], ends[chosen]
+def _joined(words: list[bytes]) -> tuple[memoryview, np.ndarray]:
+    """Words with single spaces between, and where each begins (and the last would end)."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    return memoryview(b" ".join(words) + b" "), np.concatenate([[0], np.cumsum(lengths)])
 
 
 def _segments(window: int):
@@ -84,25 +115,30 @@ def _segments(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            docs, rows = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
-            for i in range(batch.num_rows):
-                words = space_words(batch.column("text")[i].as_py())
-                phrases, at = anchors(known.of(words), window)
-                if not len(at):
-                    continue
-                recurring = np.array(batch.column("recurring")[i].as_py(), np.int64)
-                starts, ends = _stretches(at, np.isin(_signed(phrases), recurring))
+            for first, texts in TextRun.of(batch.column("text"), known, window):
+                piece = batch.slice(first, len(texts.texts))
+                # Anchors that recur for any text of the run: the others of a text recur too.
+                recurring = np.unique(piece.column("recurring").flatten().to_numpy())
+                begins = np.flatnonzero(np.diff(texts.at, prepend=-1))
+                ends = np.append(begins[1:], len(texts.at)) - 1
+                keys = _signed(texts.phrases[texts.at[begins]]) if len(begins) else np.empty(0, np.int64)
+                wanted = np.isin(keys, recurring)
+                begins, ends, keys = begins[wanted], ends[wanted], keys[wanted]
+                owner = texts.owner[begins]
+                start = texts.windows[begins]
+                last = texts.windows[ends] + window
+                bytes_, offsets = _joined([w for text in texts.texts for w in text])
                 hashes = [
-                    xxhash.xxh3_128_digest(b" ".join(words[s : e + window - 1]))
-                    for s, e in zip(starts, ends)
+                    xxhash.xxh3_128_digest(bytes_[a : b - 1])
+                    for a, b in zip(offsets[start].tolist(), offsets[last].tolist())
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(starts), docs[i]), pa.int64()),
-                        pa.array(np.full(len(starts), rows[i]), pa.int64()),
-                        pa.array(starts, pa.int32()),
-                        pa.array(ends - starts + window - 1, pa.int32()),
-                        pa.array(_signed(phrases[at[starts]]), pa.int64()),
+                        pa.array(piece.column("doc").to_numpy()[owner], pa.int64()),
+                        pa.array(piece.column("row").to_numpy()[owner], pa.int64()),
+                        pa.array(start - texts.begins[owner], pa.int32()),
+                        pa.array(last - start, pa.int32()),
+                        pa.array(keys, pa.int64()),
                         pa.array(hashes, pa.binary()),
                     ],
                     ["doc", "row", "start", "length", "anchor", "phrase"],
@@ -118,13 +154,17 @@ def _windows(window: int):
         for batch in batches:
             docs, rows = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
             for i in range(batch.num_rows):
-                words = space_words(batch.column("text")[i].as_py())
-                starts, hashes = [], []
-                for stretch in batch.column("stretches")[i].as_py():
-                    first = stretch["start"]
-                    for start in range(first, first + stretch["length"] - window + 1):
-                        starts.append(start)
-                        hashes.append(xxhash.xxh3_128_digest(b" ".join(words[start : start + window])))
+                bytes_, offsets = _joined(space_words(batch.column("text")[i].as_py()))
+                begins = offsets.tolist()
+                stretches = batch.column("stretches")[i].values
+                starts = [
+                    start
+                    for first, length in zip(
+                        stretches.field("start").to_pylist(), stretches.field("length").to_pylist()
+                    )
+                    for start in range(first, first + length - window + 1)
+                ]
+                hashes = [xxhash.xxh3_128_digest(bytes_[begins[s] : begins[s + window] - 1]) for s in starts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(starts), docs[i]), pa.int64()),
@@ -140,52 +180,73 @@ def _windows(window: int):
 
 
 class PhraseAutomaton:
-    """Aho-Corasick over words: each distinct word of the shard's phrases is one character."""
+    """Aho-Corasick over the words of a shard: each distinct word has a letter of its own."""
 
     def __init__(self) -> None:
-        self.letters: dict[bytes, str] = {}
+        self.numbers: dict[bytes, int] = {}
         self.automaton = ahocorasick.Automaton()
 
-    def add(self, words: list[bytes], first: tuple[int, int, int]) -> None:
+    def number(self, words: list[bytes]) -> np.ndarray:
+        known = self.numbers
+        return np.fromiter((known.setdefault(w, len(known)) for w in words), np.uint32, len(words))
+
+    def spell(self, numbers: np.ndarray) -> str:
+        """One letter per word, or two when the words of the shard outnumber the letters."""
+        if self.width == 2:
+            numbers = np.stack([numbers // _LETTERS + _LETTERS, numbers % _LETTERS], axis=1).ravel()
+        numbers = numbers + 1
+        # Code points of surrogates are no letters.
+        return np.where(numbers >= 0xD800, numbers + 0x800, numbers).astype("<u4").tobytes().decode("utf-32-le")
+
+    @property
+    def width(self) -> int:
+        return 1 if len(self.numbers) <= _LETTERS else 2
+
+    def add(self, spelled: str, first: tuple[int, int, int]) -> None:
         """A phrase with the earliest place at which it stands anywhere."""
-        letters = self.letters
-        spelled = "".join([letters.setdefault(w, chr(len(letters) + 1)) for w in words])
         before = self.automaton.get(spelled, None)
         if before is None or first < before[1]:
-            self.automaton.add_word(spelled, (len(words), first))
+            self.automaton.add_word(spelled, (len(spelled), first))
 
-    def repeats(self, words: list[bytes], doc: int, row: int) -> np.ndarray:
-        """Per word whether a phrase that first stands at an earlier place covers it."""
-        edges = np.zeros(len(words) + 1, np.int64)
-        # Character 0 is any word no phrase has.
-        spelled = "".join([self.letters.get(w, "\0") for w in words])
+    def repeats(self, spelled: str, doc: int, row: int) -> list[int]:
+        """Per word how many phrases that first stand at an earlier place cover it."""
+        width = self.width
+        edges = [0] * (len(spelled) // width + 1)
         for end, (length, first) in self.automaton.iter(spelled):
-            start = end - length + 1
+            start = (end + 1 - length) // width
             if (doc, row, start) > first:
                 edges[start] += 1
-                edges[end + 1] -= 1
-        return np.cumsum(edges[:-1]) > 0
+                edges[(end + 1) // width] -= 1
+        return list(accumulate(edges[:-1]))
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams the documents of each shard through the automaton of the shard's phrases."""
+    """Streams the texts of each shard through the automaton of the shard's phrases."""
     for batch in batches:
         for begin in range(0, batch.num_rows, SHARD_DOCS):
             shard = batch.slice(begin, SHARD_DOCS)
-            texts = [space_words(text.as_py()) for text in shard.column("text")]
             automaton = PhraseAutomaton()
-            for words, listed in zip(texts, shard.column("phrases")):
-                for p in listed.as_py():
-                    first = (p["first"]["doc"], p["first"]["row"], p["first"]["start"])
-                    automaton.add(words[p["start"] : p["start"] + p["length"]], first)
+            texts = [space_words(text.as_py()) for text in shard.column("text")]
+            numbered = [automaton.number(words) for words in texts]
+            spelled = [automaton.spell(numbers) for numbers in numbered]
+            width = automaton.width
+            for text, listed in zip(spelled, shard.column("phrases")):
+                phrases = listed.values
+                first = phrases.field("first")
+                for start, length, *place in zip(
+                    phrases.field("start").to_pylist(),
+                    phrases.field("length").to_pylist(),
+                    *(first.field(f).to_pylist() for f in ("doc", "row", "start")),
+                ):
+                    automaton.add(text[start * width : (start + length) * width], tuple(place))
             automaton.automaton.make_automaton()
             removed, kept, digests = [], [], []
-            for words, doc, row in zip(
-                texts, shard.column("doc").to_pylist(), shard.column("row").to_pylist()
+            for words, text, doc, row in zip(
+                texts, spelled, shard.column("doc").to_pylist(), shard.column("row").to_pylist()
             ):
-                gone = automaton.repeats(words, doc, row)
-                left = b" ".join([w for w, g in zip(words, gone) if not g])
-                removed.append(int(gone.sum()))
+                covers = automaton.repeats(text, doc, row)
+                left = b" ".join([w for w, n in zip(words, covers) if not n])
+                removed.append(len(covers) - covers.count(0))
                 kept.append(left.decode("utf-8"))
                 digests.append(hashlib.sha256(left).hexdigest())
             yield pa.RecordBatch.from_arrays(
