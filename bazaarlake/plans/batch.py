@@ -130,8 +130,8 @@ DIMENSIONS = [
 _AT_ONCE = 4
 
 
-def run_batch(warehouse: Warehouse, staging: Mapping[str, DataFrame], now: str) -> None:
-    """Loads one delivery and publishes all tables together.
+def run_batch(warehouse: Warehouse, staging: Mapping[str, DataFrame], now: str) -> int:
+    """Loads one delivery, publishes all tables together and returns the version.
 
     ``now`` is the load time as "yyyy-MM-dd HH:mm:ss"; running the same delivery again changes
     nothing but the folders. Tables that do not need each other are written at the same time.
@@ -156,7 +156,7 @@ def run_batch(warehouse: Warehouse, staging: Mapping[str, DataFrame], now: str)
         orders = pool.submit(_load_orders, warehouse, before, clean, dimensions)
         after["fact_order_line_item"] = lines.result()
         after["fact_order"] = orders.result()
-    warehouse.publish(after)
+    return warehouse.publish(after)
 
 
 def _load_lines(

@@ -50,8 +50,8 @@ class Warehouse:
         lists = self.versions()
         if not lists:
             return {}
-        newest = lists[-1 if version is None else version - 1]
-        return json.loads(paths.read_text(self.spark, newest))
+        wanted = lists[-1] if version is None else f"{self.root}/tables.{version}"
+        return json.loads(paths.read_text(self.spark, wanted))
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         return self.read_folders(table, self.folders(version).get(table, []))
@@ -97,10 +97,15 @@ class Warehouse:
         rows.write.parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
-    def publish(self, folders: dict[str, list[str]]) -> None:
+    def publish(self, folders: dict[str, list[str]]) -> int:
+        """Makes these folders the newest version and returns its number.
+
+        Fails when another writer has published that number meanwhile.
+        """
         lists = self.versions()
         number = int(lists[-1].rsplit(".", 1)[1]) + 1 if lists else 1
         paths.write_text(self.spark, f"{self.root}/tables.{number}", json.dumps(folders))
+        return number
 
     def touched(self, table: str, folders: Sequence[str], order_ids: DataFrame) -> list[str]:
         """Folders a reload rewrites: those that hold any of the given orders.

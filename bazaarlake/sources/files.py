@@ -191,8 +191,8 @@ def _pages(spark: SparkSession, files: list[str]) -> DataFrame:
 def _row_position() -> Column:
     """Position of a row in its file, taken at the scan and growing with the file.
 
-    Byte offset of the block plus the row count of the task so far; a row takes at least two
-    bytes, so positions of one block stay below the start of the next.
+    Byte offset of the block plus the row count of the task so far; a row of a line format takes
+    at least two bytes, so positions of one block stay below the start of the next.
     """
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return F.col("_metadata.file_block_start") + in_task
@@ -204,9 +204,11 @@ def scan_group(spark: SparkSession, layouts: Sequence[FileLayout]) -> DataFrame:
     Adds ``source_filename`` and ``ingest_ordinal``.
     """
     layout, files = layouts[0], [each.path for each in layouts]
+    # Parquet rows know their number in the file; a row may take less than a byte there.
+    position = F.col("_metadata.row_index") if layout.format == "parquet" else _row_position()
     lineage = [
         F.col("_metadata.file_name").alias("source_filename"),
-        _row_position().alias("ingest_ordinal"),
+        position.alias("ingest_ordinal"),
     ]
     if layout.format == "html":
         rows = html.table_rows(_pages(spark, files))

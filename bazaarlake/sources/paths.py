@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -51,17 +53,29 @@ def head(spark: SparkSession, path: str, limit: int) -> bytes:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    """A small text file as a whole."""
-    return head(spark, path, 1 << 24).decode("utf-8")
+    """A text file as a whole."""
+    fs, hadoop_path, jvm = _open(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes beside the target and renames, so readers see the old or the new text."""
+    """Writes beside the target and renames, so readers see no text or all of it.
+
+    A target that is there already, or a rename that does not happen, is an error.
+    """
     fs, hadoop_path, jvm = _open(spark, path)
-    aside = jvm.org.apache.hadoop.fs.Path(path + ".next")
+    if fs.exists(hadoop_path):
+        raise FileExistsError(path)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}.next")
     stream = fs.create(aside, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    fs.rename(aside, hadoop_path)
+    if not fs.rename(aside, hadoop_path):
+        fs.delete(aside, False)
+        raise FileExistsError(path)

@@ -3,7 +3,7 @@
 The driver tables are clean, so defects (blank ids, missing values, repeated deliveries, mixed
 case, text numbers) are derived from their columns by plain expressions. Every row of
 ``orders``, ``lineitem``, ``customer``, ``supplier`` and ``part`` is delivered. ``batch`` 2
-delivers them again, later and with changed attributes (of the lines, the open ones).
+delivers them again, later and with changed attributes.
 """
 
 from __future__ import annotations
@@ -104,15 +104,9 @@ def _line_position() -> Column:
     return mixed * 4096 + (F.floor("l_quantity") * 64 + F.col("l_linenumber")) % 4096
 
 
-def _delivered_lines(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
-    """All lines; the second delivery holds the open ones only."""
-    lines = driver_table(spark, sf_dir, "lineitem")
-    return lines if batch == 1 else lines.filter(F.col("l_linestatus") == "O")
-
-
 def stg_line_items_products(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     missing = (F.col("l_returnflag") == "R") & _every("l_partkey", 101)
-    rows = _delivered_lines(spark, sf_dir, batch).select(
+    rows = driver_table(spark, sf_dir, "lineitem").select(
         _text(_order_id("l_orderkey"), " ").alias("order_id"),
         _text("item ", F.col("l_partkey")).alias("product_name"),
         F.when(~missing, _text("p", F.col("l_partkey"))).alias("product_id"),
@@ -124,7 +118,7 @@ def stg_line_items_products(spark: SparkSession, sf_dir: str, batch: int = 1) ->
 def stg_line_items_prices(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     unpriced = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A")
     price = F.col("l_extendedprice").cast("decimal(18,2)") + (batch - 1)
-    rows = _delivered_lines(spark, sf_dir, batch).select(
+    rows = driver_table(spark, sf_dir, "lineitem").select(
         _order_id("l_orderkey").alias("order_id"),
         F.when(~unpriced, price).alias("price"),
         F.when(_every("l_partkey", 53), "0")

@@ -46,8 +46,7 @@ _PLACED_SUPPLIER = (
 
 def staging(b: int) -> dict[str, str]:
     """SQL of the 13 staging tables of batch ``b``."""
-    # The second delivery of lines holds the open ones only.
-    lines = "lineitem" if b == 1 else "(SELECT * FROM lineitem WHERE l_linestatus = 'O') o"
+    lines = "lineitem"
     t: dict[str, str] = {}
     t["stg_orders"] = _delivered(
         "stg_orders",

@@ -418,8 +418,6 @@ FROM clean_campaigns_b2 WHERE campaign_id NOT IN (SELECT campaign_id FROM dim_ca
 SELECT * FROM calendar_b2 WHERE date_key NOT IN (SELECT date_key FROM calendar)"""
     t["fact_order"] = _fact_order("")
     t["incoming_b2"] = _fact_order("_b2")
-    # The warehouse as it stood at the end of 1999 takes the second delivery.
-    t["fact_1999"] = "SELECT * FROM fact_order WHERE transaction_date_key < 20000101"
     kept = ", ".join(
         f"CASE WHEN o.order_id IS NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in _KEPT_AT_UPDATE
     )
@@ -427,7 +425,7 @@ SELECT * FROM calendar_b2 WHERE date_key NOT IN (SELECT date_key FROM calendar)"
         f"CASE WHEN n.order_id IS NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in _REPLACED
     )
     t["fact_order_b2"] = f"""SELECT coalesce(o.order_id, n.order_id) AS order_id, {kept}, {replaced}
-FROM fact_1999 o FULL JOIN incoming_b2 n ON o.order_id = n.order_id"""
+FROM fact_order o FULL JOIN incoming_b2 n ON o.order_id = n.order_id"""
     t["matched_lines"] = _matched_lines("")
     t["matched_lines_b2"] = _matched_lines("_b2")
     t["fact_order_line_item"] = _lines("", "0")
