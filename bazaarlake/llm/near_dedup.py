@@ -158,40 +158,48 @@ def _similar_sizes(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs of prints whose full shingle sets reach the similarity."""
+def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of prints whose registers do not rule the similarity out."""
     a = nodes.select(F.col("print").alias("a"), F.col("sketch").alias("sketch_a"))
     b = nodes.select(F.col("print").alias("b"), F.col("sketch").alias("sketch_b"))
-    likely = stage(
+    return stage(
         pairs.join(b, "b")
         .join(a, "a")
         .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
         .mapInArrow(_likely, "a binary, b binary, n_a long, n_b long"),
         "likely",
     )
-    wanted = likely.select(F.col("a").alias("print")).union(likely.select("b")).distinct()
-    # One text per print: that of the smallest document.
-    holders = nodes.join(wanted, "print").select(
+
+
+def _full_sets(prints: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``print`` and ``shingles`` of the given prints, from one text each: the smallest document's."""
+    holders = nodes.join(prints, "print").select(
         "print", F.coalesce(F.col("first.doc_id"), F.lit(-1)).alias("_doc"), "first.text_hash"
     )
     texts = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(-1))).join(holders, ["_doc", "text_hash"])
-    sets = stage(
+    return stage(
         texts.select("print", "text")
         .mapInArrow(_sets, "print binary, shingles array<long>")
         .dropDuplicates(["print"]),
         "shingles",
     )
+
+
+def _verified(likely: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of prints whose full shingle sets reach the similarity."""
     shared = F.size(F.array_intersect("shingles", "shingles_a")).cast("long")
-    links = stage(
+    return stage(
         likely.join(sets.withColumnRenamed("print", "b"), "b")
         .join(sets.select(F.col("print").alias("a"), F.col("shingles").alias("shingles_a")), "a")
         .withColumn("shared", shared)
-        .filter(100 * F.col("shared") >= SIMILARITY * (F.col("n_a") + F.col("n_b") - F.col("shared")))
+        .filter(_enough(F.col("shared"), F.col("n_a"), F.col("n_b")))
         .select("a", "b"),
         "links",
     )
-    forget(likely, sets)
-    return links
+
+
+def _enough(shared: Column, n_a: Column, n_b: Column) -> Column:
+    return 100 * shared >= SIMILARITY * (n_a + n_b - shared)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -203,7 +211,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
        never with all others. Pairs are estimated from the registers, then verified on full sets.
     3. Links make components. Buckets that still hold several components pair their minority
        members with the members of other components, so a link that misses the hub of its
-       bucket is found too; these pairs are estimated and verified alike.
+       bucket is found too. Shingles a member shares with nobody bound its similarity to all, which
+       rules out most of these pairs; the others are estimated and verified alike.
     4. The component id is the smallest document id of the component.
 
     A pair at exactly the threshold shares no band with probability 8e-6, and has less for more
@@ -231,11 +240,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "nodes",
     )
     buckets = stage(_buckets(nodes), "buckets")
-    first_links = _verified(_star_pairs(buckets), nodes, source)
-    first_parts = connected(first_links)
-    more_links = _verified(_cross_pairs(buckets, first_parts), nodes, source)
-    parts = connected(first_links.union(more_links))
+    likely = _likely_pairs(_star_pairs(buckets), nodes)
+    paired = likely.select(F.col("a").alias("print")).union(likely.select("b")).distinct()
+    sets = _full_sets(paired, nodes, source)
+    first_links = _verified(likely, sets)
+    forget(likely, sets)
+    mixed = stage(_mixed(buckets, connected(first_links)), "mixed")
     forget(buckets)
+    sets = _full_sets(mixed.select("print").distinct(), nodes, source)
+    likely = _likely_pairs(_cross_pairs(mixed, sets), nodes)
+    more_links = _verified(likely, sets)
+    forget(likely, sets, mixed)
+    parts = connected(first_links.union(more_links))
 
     rooted = (
         nodes.select("print", "first.doc_id")
@@ -277,28 +293,70 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     )
 
 
-def _cross_pairs(buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs across components within a bucket, from the side of the smaller components."""
+def _mixed(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of buckets with several components; ``main`` is the component with most of them."""
     rooted = (
         buckets.select("band", "print", "n")
         .join(parts, "print", "left")
         .withColumn("root", F.coalesce("root", "print"))
     )
     sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("members"))
-    mixed = (
+    several = (
         sizes.groupBy("band")
         .agg(F.count("*").alias("roots"), F.max(F.struct("members", "root")).alias("main"))
         .filter("roots > 1")
         .select("band", F.col("main.root").alias("main"))
     )
-    members = rooted.join(mixed, "band")
+    return rooted.join(several, "band")
+
+
+def _half(part: int) -> Column:
+    """Eight bytes of a print as a number."""
+    return F.conv(F.hex(F.substring("print", 8 * part + 1, 8)), 16, -10).cast("long").alias(f"half{part}")
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """``print`` and ``own``: how many of its shingles no other print of ``sets`` has.
+
+    Two grouped aggregates that combine before they shuffle, so a shingle of very many prints is
+    one row per task. Prints travel as two numbers, which keeps the aggregates in hash tables.
+    """
+    halves = ["half0", "half1"]
+    listed = sets.select(_half(0), _half(1), F.explode("shingles").alias("shingle"))
+    ends = [f(h).alias(f"{f.__name__}_{h}") for h in halves for f in (F.min, F.max)]
+    alone = (
+        listed.groupBy("shingle")
+        .agg(*ends)
+        .filter("min_half0 = max_half0 and min_half1 = max_half1")
+        .groupBy(F.col("min_half0").alias("half0"), F.col("min_half1").alias("half1"))
+        .agg(F.count("*").alias("own"))
+    )
+    return sets.select("print", _half(0), _half(1)).join(alone, halves).select("print", "own")
+
+
+def _cross_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs across components within a bucket, from the side of the smaller components.
+
+    Shingles that no other member of any mixed bucket has are in no intersection. What is left of
+    a set bounds its intersection with any other, so most members of a large group of edited
+    copies meet nobody, and no pair that reaches the similarity is passed over.
+    """
+    counted = mixed.join(_own_shingles(sets), "print", "left").withColumn(
+        "open", F.col("n") - F.coalesce("own", F.lit(0))
+    )
+    members = stage(counted.filter(100 * F.col("open") >= SIMILARITY * F.col("n")).drop("own"), "open")
     probes = members.filter("root != main").select(
-        "band", F.col("print").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a")
+        "band",
+        F.col("print").alias("a"),
+        F.col("n").alias("n_a"),
+        F.col("root").alias("root_a"),
+        F.col("open").alias("open_a"),
     )
-    others = members.select("band", F.col("print").alias("b"), F.col("n").alias("n_b"), "root")
+    others = members.select("band", F.col("print").alias("b"), F.col("n").alias("n_b"), "root", "open")
+    reachable = _enough(F.least("open_a", "open"), F.col("n_a"), F.col("n_b"))
     return (
         probes.join(others, "band")
-        .filter((F.col("root") != F.col("root_a")) & _similar_sizes("n_a", "n_b"))
+        .filter((F.col("root") != F.col("root_a")) & _similar_sizes("n_a", "n_b") & reachable)
         # A pair found from both sides is one.
         .select(
             F.least("a", "b").alias("a"),
