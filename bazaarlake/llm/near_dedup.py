@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65535
 # Pairs estimated below this are not verified: five standard deviations under the threshold.
 LEAST_ESTIMATE = 0.66
+# Places of the map that bounds how far two sets are apart.
+PARITIES = 1024
 
 _random = np.random.default_rng(20)
 _TIMES = _random.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -98,11 +102,21 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             piece = texts[start : start + 256]
             sets = [shingle_set(text.as_py(), known).view(np.int64) for text in piece]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("print")[start : start + 256], pa.array(sets, pa.list_(pa.int64()))],
-                ["print", "shingles"],
+                [
+                    batch.column("print")[start : start + 256],
+                    pa.array(sets, pa.list_(pa.int64())),
+                    pa.array([parity_map(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["print", "shingles", "parity"],
             )
 
 
+def parity_map(shingles: np.ndarray) -> np.ndarray:
+    """Per place whether an odd number of shingles falls there, 64 places to a number."""
+    counts = np.bincount((shingles.view(np.uint64) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def likely_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Most likely Jaccard similarity from registers (rows of ``a`` and ``b``) and set sizes.
 
@@ -172,14 +186,14 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _full_sets(prints: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``print`` and ``shingles`` of the given prints, from one text each: the smallest document's."""
+    """Shingles and parity map of the given prints, from one text each: the smallest document's."""
     holders = nodes.join(prints, "print").select(
         "print", F.coalesce(F.col("first.doc_id"), F.lit(-1)).alias("_doc"), "first.text_hash"
     )
     texts = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(-1))).join(holders, ["_doc", "text_hash"])
     return stage(
         texts.select("print", "text")
-        .mapInArrow(_sets, "print binary, shingles array<long>")
+        .mapInArrow(_sets, "print binary, shingles array<long>, parity array<long>")
         .dropDuplicates(["print"]),
         "shingles",
     )
@@ -189,7 +203,7 @@ def _verified(likely: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of prints whose full shingle sets reach the similarity."""
     shared = F.size(F.array_intersect("shingles", "shingles_a")).cast("long")
     return stage(
-        likely.join(sets.withColumnRenamed("print", "b"), "b")
+        likely.join(sets.select(F.col("print").alias("b"), "shingles"), "b")
         .join(sets.select(F.col("print").alias("a"), F.col("shingles").alias("shingles_a")), "a")
         .withColumn("shared", shared)
         .filter(_enough(F.col("shared"), F.col("n_a"), F.col("n_b")))
@@ -211,8 +225,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
        never with all others. Pairs are estimated from the registers, then verified on full sets.
     3. Links make components. Buckets that still hold several components pair their minority
        members with the members of other components, so a link that misses the hub of its
-       bucket is found too. Shingles a member shares with nobody bound its similarity to all, which
-       rules out most of these pairs; the others are estimated and verified alike.
+       bucket is found too. Parity maps of the sets rule out most of these pairs; the others are
+       estimated and verified alike.
     4. The component id is the smallest document id of the component.
 
     A pair at exactly the threshold shares no band with probability 8e-6, and has less for more
@@ -310,50 +324,30 @@ def _mixed(buckets: DataFrame, parts: DataFrame) -> DataFrame:
     return rooted.join(several, "band")
 
 
-def _half(part: int) -> Column:
-    """Eight bytes of a print as a number."""
-    return F.conv(F.hex(F.substring("print", 8 * part + 1, 8)), 16, -10).cast("long").alias(f"half{part}")
-
-
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """``print`` and ``own``: how many of its shingles no other print of ``sets`` has.
-
-    Two grouped aggregates that combine before they shuffle, so a shingle of very many prints is
-    one row per task. Prints travel as two numbers, which keeps the aggregates in hash tables.
-    """
-    halves = ["half0", "half1"]
-    listed = sets.select(_half(0), _half(1), F.explode("shingles").alias("shingle"))
-    ends = [f(h).alias(f"{f.__name__}_{h}") for h in halves for f in (F.min, F.max)]
-    alone = (
-        listed.groupBy("shingle")
-        .agg(*ends)
-        .filter("min_half0 = max_half0 and min_half1 = max_half1")
-        .groupBy(F.col("min_half0").alias("half0"), F.col("min_half1").alias("half1"))
-        .agg(F.count("*").alias("own"))
-    )
-    return sets.select("print", _half(0), _half(1)).join(alone, halves).select("print", "own")
+def _apart(a: str, b: str) -> Column:
+    """Places at which two parity maps differ: never more than shingles in one set only."""
+    xors = [F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))) for i in range(PARITIES // 64)]
+    return reduce(operator.add, [F.bit_count(x) for x in xors])
 
 
 def _cross_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs across components within a bucket, from the side of the smaller components.
 
-    Shingles that no other member of any mixed bucket has are in no intersection. What is left of
-    a set bounds its intersection with any other, so most members of a large group of edited
-    copies meet nobody, and no pair that reaches the similarity is passed over.
+    A pair leaves the join only if its parity maps allow the similarity. The maps bound the
+    difference of the sets from below, so no pair that reaches the similarity is passed over,
+    and a large group of edited copies, alike but not enough, gives few pairs.
     """
-    counted = mixed.join(_own_shingles(sets), "print", "left").withColumn(
-        "open", F.col("n") - F.coalesce("own", F.lit(0))
-    )
-    members = stage(counted.filter(100 * F.col("open") >= SIMILARITY * F.col("n")).drop("own"), "open")
+    members = stage(mixed.join(sets.select("print", "parity"), "print"), "members")
     probes = members.filter("root != main").select(
         "band",
         F.col("print").alias("a"),
         F.col("n").alias("n_a"),
         F.col("root").alias("root_a"),
-        F.col("open").alias("open_a"),
+        F.col("parity").alias("parity_a"),
     )
-    others = members.select("band", F.col("print").alias("b"), F.col("n").alias("n_b"), "root", "open")
-    reachable = _enough(F.least("open_a", "open"), F.col("n_a"), F.col("n_b"))
+    others = members.select("band", F.col("print").alias("b"), F.col("n").alias("n_b"), "root", "parity")
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    reachable = _enough((n_a + n_b - _apart("parity_a", "parity")) / 2, n_a, n_b)
     return (
         probes.join(others, "band")
         .filter((F.col("root") != F.col("root_a")) & _similar_sizes("n_a", "n_b") & reachable)

@@ -3,10 +3,12 @@
 import collections
 import hashlib
 import os
+import random
 import re
 import sys
 import zlib
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -258,3 +260,33 @@ def test_site_quality(docs, nothing, labels):
     assert site_quality.site_quality(nothing, labels).count() == 0
     found = site_quality.site_quality(docs, labels).collect()
     assert len(found) == len(ROWS) and all(0 <= row.score <= 1 for row in found)
+
+
+def test_near_duplicates_of_a_large_group(spark):
+    """Copies with many edits, most of them linked with few others, against brute force."""
+    chance = random.Random(5)
+    texts = []
+    for i in range(120):
+        words = [f"v{j}" for j in range(150)]
+        for place in chance.sample(range(150), i % 5):
+            words[place] = f"e{chance.randrange(40)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(146)} for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near_dedup.near_duplicates(docs).collect()
+    assert {row.doc_id: row.component_id for row in found} == dict(enumerate(root))
+
+
+def test_parity_maps_bound_the_difference():
+    chance = np.random.default_rng(3)
+    for shared, more in [(0, 5), (100, 3), (3000, 40)]:
+        both, a, b = (np.unique(chance.integers(0, 1 << 63, n)) for n in (shared, more, more))
+        maps = [near_dedup.parity_map(np.union1d(both, own)) for own in (a, b)]
+        assert int(np.bitwise_count((maps[0] ^ maps[1]).view(np.uint64)).sum()) <= len(a) + len(b)
