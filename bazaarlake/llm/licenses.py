@@ -94,7 +94,8 @@ def scan(
     words = split_words(lower_ascii(F.col(text)), NOT_WORD)
     rolled = (
         docs.select(F.monotonically_increasing_id().alias("_row"), key, text)
-        .select("_row", key, F.explode(let(words, _grams)).alias("_g"))
+        # Never empty; a plain explode has its input computed once more by a filter for empty lists.
+        .select("_row", key, F.explode_outer(let(words, _grams)).alias("_g"))
         .select("_row", key, F.col("_g.at").alias("at"), F.col("_g.gram").alias("gram"))
         .withColumn("gram_hash", F.xxhash64("gram"))
     )
