@@ -82,7 +82,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.remove_later_lines(table(spark, sf_dir, "documents"))
+    kept = line_dedup.remove_later_lines(table(spark, sf_dir, "documents"), tokens_of=line_dedup.words)
     return kept.select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
     )

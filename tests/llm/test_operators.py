@@ -219,6 +219,34 @@ def test_line_dedup(docs, nothing):
     assert found[6].n_removed == 0
 
 
+def test_lines_with_changed_words(spark):
+    """Short and long lines with a few words changed or repeated, against brute force."""
+    chance = random.Random(8)
+    lines = ["a b c d", "a b c d E", "d c b a e", "a b c", "a a b b c", "a a b b", "a b b c c"]
+    for i in range(60):
+        base = [f"u{i % 12}x{j}" if j % 3 else "the" for j in range(6 + 5 * (i % 12))]
+        for place in chance.sample(range(len(base)), chance.randrange(1 + len(base) // 4)):
+            base[place] = chance.choice(["the", f"z{i}", "and"])
+        lines.append(" ".join(base))
+    bags = [collections.Counter(line.lower().split()) for line in lines]
+    gone = {
+        b
+        for b in range(len(bags))
+        for a in range(b)
+        if 100 * (bags[a] & bags[b]).total() >= 80 * (bags[a] | bags[b]).total()
+    }
+    assert {1, 2} <= gone and len(gone) > 10
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    found = line_dedup.remove_later_lines(docs, tokens_of=line_dedup.words).collect()
+    assert {row.doc_id for row in found if row.n_removed} == gone
+    texts = [(i, "\n".join(lines[i * 7 : i * 7 + 7])) for i in range(10)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = line_dedup.remove_later_lines(docs, tokens_of=line_dedup.words).collect()
+    for row in found:
+        part = range(row.doc_id * 7, min(row.doc_id * 7 + 7, len(lines)))
+        assert row.kept_text == "\n".join(lines[k] for k in part if k not in gone)
+
+
 def test_quality_rules(docs, nothing, labels):
     assert rules.quality_rules(nothing, labels).count() == 0
     found = rules.quality_rules(docs, labels.limit(0)).collect()
