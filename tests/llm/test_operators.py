@@ -219,8 +219,10 @@ def test_line_dedup(docs, nothing):
     assert found[6].n_removed == 0
 
 
-def test_lines_with_changed_words(spark):
+@pytest.mark.parametrize("direct", [64, 1])
+def test_lines_with_changed_words(spark, monkeypatch, direct):
     """Short and long lines with a few words changed or repeated, against brute force."""
+    monkeypatch.setattr(line_dedup, "DIRECT", direct)
     chance = random.Random(8)
     lines = ["a b c d", "a b c d E", "d c b a e", "a b c", "a a b b c", "a a b b", "a b b c c"]
     for i in range(60):
@@ -247,6 +249,20 @@ def test_lines_with_changed_words(spark):
         assert row.kept_text == "\n".join(lines[k] for k in part if k not in gone)
 
 
+@pytest.mark.parametrize("tokens_of", [line_dedup.words, line_dedup.shingles])
+def test_lines_of_rows_that_share_an_id(spark, tokens_of):
+    """A repeated line goes from the row that has it, not from other rows with its id or none."""
+    known, near = passage(0, 60), passage(0, 59) + " other"
+    rows = [(1, known)]
+    for key, at in ((None, 100), (5, 200)):
+        rows += [(key, f"{near}\n{passage(at, 20)}"), (key, f"{passage(at + 20, 20)}\n{passage(at + 40, 20)}")]
+    rows += [(None, near)] * 3
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.remove_later_lines(table, tokens_of=tokens_of).collect()
+    expected = [(key, text.replace(near, "").strip("\n")) for key, text in rows]
+    assert sorted((str(r.doc_id), r.kept_text) for r in found) == sorted((str(key), text) for key, text in expected)
+
+
 def test_quality_rules(docs, nothing, labels):
     assert rules.quality_rules(nothing, labels).count() == 0
     found = rules.quality_rules(docs, labels.limit(0)).collect()
