@@ -20,6 +20,8 @@ MOST_FEATURES = 4_096
 LEAST_DOCUMENTS = 3
 STEPS, RATE, DECAY = 250, 0.1, 5e-5
 THRESHOLD = 0.7
+# A sentence offends when it is at least as likely toxic as not.
+SENTENCE_THRESHOLD = 0.5
 # A word stands for itself and its beginnings, so unseen endings of a known stem count.
 STEMS = (4, 5, 6)
 _ENDS = re.compile(r"[.!?\n]+")
@@ -33,14 +35,14 @@ def features_of(word: bytes) -> list[bytes]:
     return [word, *[word[:n] + b"*" for n in STEMS if len(word) > n]]
 
 
-def sentences(text: str | None) -> list[tuple[int, list[bytes]]]:
-    """Start (in characters) and words of every sentence that has words."""
+def sentences(text: str | None) -> list[tuple[int, int, list[bytes]]]:
+    """Start and end (in characters, without its end mark) and words of every sentence that has words."""
     found, start = [], 0
     for end in _ENDS.finditer(text or ""):
-        found.append((start, plain_words(text[start : end.start()])))
+        found.append((start, end.start(), plain_words(text[start : end.start()])))
         start = end.end()
-    found.append((start, plain_words((text or "")[start:])))
-    return [(at, words) for at, words in found if words]
+    found.append((start, len(text or ""), plain_words((text or "")[start:])))
+    return [(at, end, words) for at, end, words in found if words]
 
 
 @dataclass
@@ -75,7 +77,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
         return Model({}, -20.0 if not toxic.sum() else 20.0)
     # Words are shared objects, and features are only counted: memory follows the vocabulary.
     shared: dict[bytes, bytes] = {}
-    bags = [[[shared.setdefault(w, w) for w in words] for _, words in sentences(text)] for text in texts]
+    bags = [[[shared.setdefault(w, w) for w in words] for *_, words in sentences(text)] for text in texts]
     inside, hit = Counter(), Counter()
     for bag, label in zip(bags, toxic):
         present = {f for word in {w for words in bag for w in words} for f in features_of(word)}
@@ -145,21 +147,29 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     return fit(found["text"].tolist(), found["toxic"].to_numpy())
 
 
+_OFFENDING = pa.list_(
+    pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())])
+)
+
+
 def _scorer(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         weight = WordWeights(model).__getitem__
         for batch in batches:
-            scores, counts, starts, worst = [], [], [], []
+            scores, counts, starts, worst, offending = [], [], [], [], []
             for text in batch.column("text"):
                 found = sentences(text.as_py())
-                z = np.array([sum(map(weight, words)) for _, words in found]) + model.bias
+                z = np.array([sum(map(weight, words)) for *_, words in found]) + model.bias
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 scores.append(float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())))
                 counts.append(len(found))
                 top = int(p.argmax()) if len(p) else None
                 starts.append(None if top is None else found[top][0])
                 worst.append(None if top is None else float(p[top]))
+                offending.append(
+                    [(*found[i][:2], float(p[i])) for i in np.flatnonzero(p >= SENTENCE_THRESHOLD)]
+                )
             names = [n for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -168,27 +178,32 @@ def _scorer(shared):
                     pa.array(counts, pa.int64()),
                     pa.array(starts, pa.int64()),
                     pa.array(worst, pa.float64()),
+                    pa.array(offending, _OFFENDING),
                 ],
-                [*names, "score", "n_sentences", "worst_start", "worst_score"],
+                [*names, "score", "n_sentences", "worst_start", "worst_score", "offending"],
             )
 
     return score
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Every row with ``score``, ``predicted`` and the most offending sentence.
+    """Every row with ``score``, ``predicted`` and the offending sentences.
 
     A sentence's log-odds are the bias plus the weights of its words; the document's score is the
-    noisy-or of its sentences. ``worst_start`` (in characters) and ``worst_score`` locate the most
-    offending one; both are null for null, empty and wordless texts, whose score is 0. Rows are
+    noisy-or of its sentences. ``offending`` lists every sentence whose probability reaches
+    ``SENTENCE_THRESHOLD``, in order, as ``start``, ``end`` (in characters, the end mark left out)
+    and ``probability``; it is empty where no sentence does. ``worst_start`` and ``worst_score``
+    give the most toxic sentence of any text, offending or not; both are null for null, empty and
+    wordless texts, whose score is 0. Rows are
     scored one by one, whatever else repeats; other columns stay. The model has at most
     ``MOST_FEATURES`` weights and is broadcast.
     """
-    kept = docs.drop("score", "n_sentences", "worst_start", "worst_score", "predicted")
+    kept = docs.drop("score", "n_sentences", "worst_start", "worst_score", "offending", "predicted")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = kept.mapInArrow(
         _scorer(shared),
-        f"{schema}, score double, n_sentences long, worst_start long, worst_score double",
+        f"{schema}, score double, n_sentences long, worst_start long, worst_score double, "
+        "offending array<struct<start: long, end: long, probability: double>>",
     )
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -300,6 +300,24 @@ def test_toxicity(spark, docs, nothing, labels):
     assert all(row.worst_start > 0 for row in scored if row.predicted)
 
 
+def test_every_offending_sentence(spark):
+    """All sentences at or above the threshold, with both ends; none of a clean text."""
+    texts = [
+        "Fine here. You stupid é man! Fine again.\nstupid stupid",
+        "Fine here. Fine again.",
+        "stupid. stupid. stupid",
+        None,
+        "",
+    ]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = toxicity.Model({b"stupid": 5.0}, -4.0)
+    found = {row.doc_id: row for row in toxicity.score(table, model).collect()}
+    said = {i: [texts[i][s.start : s.end] for s in row.offending] for i, row in found.items()}
+    assert said == {0: [" You stupid é man", "stupid stupid"], 1: [], 2: ["stupid", " stupid", " stupid"], 3: [], 4: []}
+    assert [round(s.probability, 4) for s in found[0].offending] == [0.7311, 0.9975]
+    assert (found[0].worst_start, round(found[0].worst_score, 4)) == (texts[0].index("stupid s"), 0.9975)
+
+
 def test_site_quality(docs, nothing, labels):
     assert site_quality.site_quality(nothing, labels).count() == 0
     found = site_quality.site_quality(docs, labels).collect()
