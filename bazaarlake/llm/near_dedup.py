@@ -9,10 +9,10 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import WordHashes, forget, space_words, stage, window_hashes
+from bazaarlake.llm.common import SPACE, WordHashes, forget, space_words, stage, window_hashes
 from bazaarlake.llm.components import connected
 
 SHINGLE = 5
@@ -234,6 +234,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows with a null id take part; a component of such rows only has a null id and is kept. Rows
     that repeat an id are one document. An empty table gives no rows.
     """
+    own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return (
+        _components(docs)
+        .select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    )
+
+
+def _components(docs: DataFrame) -> DataFrame:
+    """Per row its ``root``, one fingerprint for the whole component (null without shingles)."""
     source = docs.select(F.col("doc_id").cast("long"), "text").withColumn("text_hash", F.xxhash64("text"))
     sketched = stage(
         source.select("doc_id", "text_hash", "text").mapInArrow(
@@ -273,12 +283,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("root", F.coalesce("root", "print"))
     )
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("print", "component_id")
-    placed = sketched.select("doc_id", "text_hash", "n_shingles", "print").join(classes, "print", "left")
-    own = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return placed.select("doc_id", "text_hash", "n_shingles", own.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    classes = rooted.join(smallest, "root").select("print", "root", "component_id")
+    return sketched.select("doc_id", "text_hash", "n_shingles", "print").join(classes, "print", "left")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
@@ -363,10 +369,35 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all columns; rows that repeat an id stay once each."""
-    verdict = near_duplicates(docs).filter("kept")
-    keys = verdict.select(F.coalesce("doc_id", F.lit(-1)).alias("_doc"), F.col("text_hash").alias("_text"))
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn(
-        "_text", F.xxhash64("text")
+    """One row of each component, with all columns; rows without words all stay.
+
+    The row with the smallest id stays (null last), then with the smallest hash of its text. Of rows
+    that repeat id and text, the one with the smallest hash of its columns does.
+    """
+    key = ["_near_none", "_near_doc", "_near_text"]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    keys = (
+        _components(docs)
+        .filter("root is not null")
+        .groupBy("root")
+        .agg(first.alias("first"))
+        .select(
+            F.col("first.none").alias(key[0]),
+            F.coalesce("first.doc_id", F.lit(-1)).alias(key[1]),
+            F.col("first.text_hash").alias(key[2]),
+        )
+    )
+    # A map has neither order nor hash.
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(f"[^{SPACE}]")
+    keyed = (
+        docs.filter(worded)
+        .withColumn(key[0], F.col("doc_id").cast("long").isNull())
+        .withColumn(key[1], F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
+        .withColumn(key[2], F.xxhash64("text"))
     )
-    return keyed.join(keys.distinct(), ["_doc", "_text"], "left_semi").select(*docs.columns)
+    # One row per id and text first: Spark keeps one in each input task before rows are moved.
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*hashed)))
+    single = keyed.withColumn("_near_place", place).filter("_near_place = 1")
+    columns = [f"`{name}`" for name in docs.columns]
+    return single.join(keys, key, "left_semi").select(*columns).union(docs.filter(~worded).select(*columns))

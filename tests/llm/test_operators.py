@@ -346,6 +346,18 @@ def test_near_duplicates_of_a_large_group(spark):
     assert {row.doc_id: row.component_id for row in found} == dict(enumerate(root))
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Rows that repeat id and text, rows of one id with near texts, copies without an id."""
+    near = passage(0, 99) + " other"
+    rows = [(7, passage(0, 100))] * 2 + [(7, near), (8, passage(0, 100)), (-1, passage(200, 50))]
+    rows += [(None, passage(200, 50))] * 2 + [(None, passage(300, 50))] * 3 + [(None, None)] * 2 + [(9, " \n")] * 2
+    table = spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], "doc_id long, text string, place long")
+    kept = near_dedup.drop_near_duplicates(table).collect()
+    worded = [(row.doc_id, passage(200, 50) == row.text) for row in kept if row.text and row.text.strip()]
+    assert sorted(map(str, worded)) == sorted(map(str, [(7, False), (-1, True), (None, False)]))
+    assert sorted(row.place for row in kept if not (row.text and row.text.strip())) == [10, 11, 12, 13]
+
+
 def test_parity_maps_bound_the_difference():
     chance = np.random.default_rng(3)
     for shared, more in [(0, 5), (100, 3), (3000, 40)]:
