@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import (
+    alignment,
     decontaminate,
+    language,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
     phrases,
@@ -99,6 +102,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs)
+    return language.identify(docs, model).select(
+        "doc_id",
+        language.held_out(F.col("doc_id")),
+        "lang_pred",
+        "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_toxicity,
@@ -111,6 +134,9 @@ def queries() -> dict[str, Query]:
         op8_line_dedup,
         op9_quality_rules,
         op10_substring_dedup,
+        op11_alignment,
+        op12_language,
+        op13_merkle,
     ]
     return {query.__name__: query for query in found}
 
