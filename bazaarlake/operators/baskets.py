@@ -2,67 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.operators.ordinal import oversized
-
 SMALL_BASKET = 32
-_BITS = 4
-_LEVELS = 16
 
 
 def pair_counts(lines: DataFrame, label: str, small: int = SMALL_BASKET) -> DataFrame:
     """(label_a, label_b, pair_count) over all line pairs of an order with product a < product b.
 
     Repeated products of an order are counted once with a weight. Orders of at most ``small``
-    products (496 pairs each) are paired directly. Larger ones are paired block by block: two
-    keys meet only where their base-16 digits first differ, and by then the products below are
-    summed per label, so the work follows the number of labels and not the square of the order.
+    products list their pairs (496 at most) from one sorted array. Larger ones are scanned by
+    product with a running count per label, so a basket costs its products times its labels and
+    no pair is listed. Neither joins the lines with themselves, and both use one shuffle by order.
     """
     weighted = lines.groupBy("order_id", "product_key", label).agg(F.count("*").alias("_n"))
-    large_orders = oversized(weighted, "order_id", small)
-    direct = _pair(
-        weighted.join(large_orders, "order_id", "left_anti"), ["order_id"], "product_key", label
-    )
-    blocks = _blocks(weighted.join(large_orders, "order_id", "left_semi"), label)
-    by_block = _pair(blocks, ["order_id", "_level", "_block"], "_digit", label)
+    of_order = Window.partitionBy("order_id")
+    sized = weighted.withColumn("_products", F.count("*").over(of_order))
+    listed = _listed(sized.filter(F.col("_products") <= small), label)
+    scanned = _scanned(sized.filter(F.col("_products") > small), label)
     return (
-        direct.unionByName(by_block)
+        listed.unionByName(scanned)
         .groupBy("label_a", "label_b")
         .agg(F.sum("pair_count").alias("pair_count"))
+        .filter("pair_count > 0")
     )
 
 
-def _pair(weighted: DataFrame, on: list[str], rank: str, label: str) -> DataFrame:
-    a = weighted.select(
-        *on, F.col(rank).alias("_a"), F.col(label).alias("label_a"), F.col("_n").alias("_na")
+def _listed(weighted: DataFrame, label: str) -> DataFrame:
+    basket = weighted.groupBy("order_id").agg(
+        F.array_sort(
+            F.collect_list(F.struct(F.col("product_key").alias("p"), F.col(label).alias("l"), F.col("_n").alias("n")))
+        ).alias("basket")
     )
-    b = weighted.select(
-        *on, F.col(rank).alias("_b"), F.col(label).alias("label_b"), F.col("_n").alias("_nb")
-    )
-    return (
-        a.join(b, on)
-        .filter(F.col("_a") < F.col("_b"))
-        .groupBy("label_a", "label_b")
-        .agg(F.sum(F.col("_na") * F.col("_nb")).alias("pair_count"))
-    )
-
 
-def _blocks(weighted: DataFrame, label: str) -> DataFrame:
-    """Per level, the block a key lies in and its digit inside, weights summed per label.
-
-    All 16 digits of a long get a level, so no pass is needed to find the largest key.
-    """
-    return (
-        weighted.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))))
-        .withColumn(
-            "_block",
-            F.when(F.col("_level") == _LEVELS - 1, F.lit(0)).otherwise(
-                F.expr(f"shiftright(product_key, {_BITS} * (_level + 1))")
+    def with_later(a, i):
+        later = F.slice("basket", i + 2, F.size("basket"))
+        return F.transform(
+            F.filter(later, lambda b: b["p"] > a["p"]),
+            lambda b: F.struct(
+                a["l"].alias("label_a"), b["l"].alias("label_b"), (a["n"] * b["n"]).alias("pair_count")
             ),
         )
-        .withColumn("_digit", F.expr(f"shiftright(product_key, {_BITS} * _level) & 15"))
-        .groupBy("order_id", "_level", "_block", "_digit", label)
-        .agg(F.sum("_n").alias("_n"))
+
+    several = basket.filter(F.size("basket") > 1)
+    pairs = several.select(F.explode(F.flatten(F.transform("basket", with_later))).alias("pair"))
+    return pairs.groupBy("pair.label_a", "pair.label_b").agg(F.sum("pair.pair_count").alias("pair_count"))
+
+
+def _scanned(weighted: DataFrame, label: str) -> DataFrame:
+    """Every product meets, for each label of its order, the lines below it that carry the label."""
+    labels = F.collect_set(F.struct(F.col(label).alias("l"))).over(Window.partitionBy("order_id"))
+    wanted = weighted.withColumn("_labels", labels).withColumn("_a", F.explode("_labels")).drop("_labels")
+    below = (
+        Window.partitionBy("order_id", "_a")
+        .orderBy("product_key")
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    carries = F.when(F.col(label).eqNullSafe(F.col("_a.l")), F.col("_n")).otherwise(0)
+    met = wanted.withColumn("_below", F.coalesce(F.sum(carries).over(below), F.lit(0)))
+    return met.groupBy(F.col("_a.l").alias("label_a"), F.col(label).alias("label_b")).agg(
+        F.sum(F.col("_below") * F.col("_n")).alias("pair_count")
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNIQUE = [
     ("dim_product", "product_key"),
@@ -36,36 +38,78 @@ REFERENCES = [
 ]
 
 
-def _count(rule: str, violations: DataFrame) -> DataFrame:
-    return violations.agg(F.count("*").alias("violations")).select(
-        F.lit(rule).alias("rule"), "violations"
+def _mark(rule: int, rows: DataFrame, column: str, when: Column, known: bool = False) -> Column:
+    """A row's entry under a rule: its key (a number or a text), and the side it is seen on."""
+    number = isinstance(rows.schema[column].dataType, T.IntegralType)
+    return F.when(
+        when,
+        F.struct(
+            F.lit(rule).alias("rule"),
+            (F.col(column).cast("long") if number else F.lit(None).cast("long")).alias("number"),
+            (F.lit(None).cast("string") if number else F.col(column)).alias("text"),
+            F.lit(known).alias("known"),
+        ),
     )
 
 
-def _repeated(rows: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once; missing values do not count."""
-    return rows.filter(F.col(column).isNotNull()).groupBy(column).count().filter("count > 1")
-
-
 def integrity_report(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per rule with the number of violations.
 
-    References are counted per distinct key: the fact is reduced to its keys before the join.
+    Every table is scanned once: its rows give an entry for each rule they take part in, and one
+    aggregation over (rule, key) settles all rules, references included, where the keys used and
+    the keys known meet. Entries are summed in the tasks that read them, so a fact is reduced to
+    its distinct keys before the shuffle.
     """
-    found = []
+    names: list[str] = []
+    kinds: list[str] = []
+    marks: dict[str, list[Column]] = defaultdict(list)
+
+    def rule(kind: str, name: str) -> int:
+        names.append(name)
+        kinds.append(kind)
+        return len(names) - 1
+
     for table, column in UNIQUE:
-        found.append(_count(f"unique {table}.{column}", _repeated(tables[table], column)))
+        n = rule("unique", f"unique {table}.{column}")
+        marks[table].append(_mark(n, tables[table], column, F.col(column).isNotNull()))
     for table, column in REQUIRED:
-        missing = tables[table].filter(F.col(column).isNull())
-        found.append(_count(f"required {table}.{column}", missing))
-        live = tables[table].filter("is_current")
-        found.append(_count(f"one current row {table}.{column}", _repeated(live, column)))
+        n = rule("required", f"required {table}.{column}")
+        marks[table].append(_mark(n, tables[table], column, F.col(column).isNull()))
+        n = rule("unique", f"one current row {table}.{column}")
+        current = F.col("is_current") & F.col(column).isNotNull()
+        marks[table].append(_mark(n, tables[table], column, current))
     for table, column, target, key in REFERENCES:
-        used = tables[table].select(column).filter(F.col(column).isNotNull()).distinct()
-        known = tables[target].select(F.col(key).alias(column))
-        orphans = used.join(known, column, "left_anti")
-        found.append(_count(f"reference {table}.{column}", orphans))
-    return reduce(DataFrame.unionByName, found)
+        n = rule("reference", f"reference {table}.{column}")
+        marks[table].append(_mark(n, tables[table], column, F.col(column).isNotNull()))
+        marks[target].append(_mark(n, tables[target], key, F.col(key).isNotNull(), known=True))
+    entries = [
+        tables[table].select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*")
+        for table, found in marks.items()
+    ]
+    settled = (
+        reduce(DataFrame.unionByName, entries)
+        .groupBy("rule", "number", "text")
+        .agg(F.count_if(~F.col("known")).alias("used"), F.max("known").alias("known"))
+    )
+    kind = F.element_at(F.array(*[F.lit(k) for k in kinds]), F.col("rule") + 1)
+    broken = (
+        F.when(kind == "unique", (F.col("used") > 1).cast("long"))
+        .when(kind == "required", F.col("used"))
+        .otherwise((~F.col("known")).cast("long"))
+    )
+    # Every rule is reported, kept or not.
+    spark = settled.sparkSession
+    all_rules = spark.range(len(names)).select(F.col("id").cast("int").alias("rule"), F.lit(0).cast("long").alias("n"))
+    return (
+        settled.select("rule", broken.alias("n"))
+        .unionByName(all_rules)
+        .groupBy("rule")
+        .agg(F.sum("n").alias("violations"))
+        .select(
+            F.element_at(F.array(*[F.lit(name) for name in names]), F.col("rule") + 1).alias("rule"),
+            "violations",
+        )
+    )
 
 
 def repeated_keys(clean: DataFrame, key: str) -> DataFrame:

@@ -72,15 +72,20 @@ def clean_line_prices(
     )
 
 
-def clean_line_products(
-    stg_line_items_products: DataFrame, hot_rows: int = HOT_ORDER_LINES
-) -> DataFrame:
-    cleaned = stg_line_items_products.filter(F.col("order_id").isNotNull()).select(
+def line_products(stg_line_items_products: DataFrame) -> DataFrame:
+    """Product lines, not yet numbered."""
+    return stg_line_items_products.filter(F.col("order_id").isNotNull()).select(
         F.trim("order_id").alias("order_id"),
         F.trim("product_name").alias("product_name"),
         F.upper(F.trim("product_id")).alias("product_id"),
         *LINEAGE,
     )
+
+
+def clean_line_products(
+    stg_line_items_products: DataFrame, hot_rows: int = HOT_ORDER_LINES
+) -> DataFrame:
+    cleaned = line_products(stg_line_items_products)
     return number_within(cleaned, "order_id", LINE_ORDER, "line_item_seq", hot_rows)
 
 

@@ -6,12 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.functions.dates import date_key
+from bazaarlake.operators import asof
+from bazaarlake.operators.cleaning import HOT_ORDER_LINES, LINE_ORDER
 from bazaarlake.operators.latest import first_per
 from bazaarlake.operators.lookup import left_lookup, spread_missing
-from bazaarlake.operators.ordinal import highest_key, surrogate_keys
+from bazaarlake.operators.ordinal import (
+    highest_key,
+    number_in_chunks,
+    number_usual,
+    split_hot,
+    surrogate_keys,
+)
 from bazaarlake.sources.schemas import WAREHOUSE, conform
 
 _LINES_PER_KEY_CHUNK = 65_536
+# Up to so many versions of a member are met by a plain join.
+FEW_VERSIONS = 64
+PRICE = "struct<unit_price: decimal(18,2), quantity: int, line_total_amount: decimal(28,2)>"
 
 # Columns an order already loaded takes over from a later delivery; all others stay.
 UPDATED_BY_RELOAD = [
@@ -48,12 +59,20 @@ def order_metrics(line_prices: DataFrame) -> DataFrame:
 
 
 def as_of_version(
-    rows: DataFrame, dimension: DataFrame, on: str, at: str, key: str, effective: str
+    rows: DataFrame,
+    dimension: DataFrame,
+    on: str,
+    at: str,
+    key: str,
+    effective: str,
+    most: int | None = None,
 ) -> DataFrame:
     """Left join to the versions valid at the date ``at``, adding ``key`` and ``effective``.
 
-    Equality on ``on`` with the interval as residual condition. Several matches stay; the caller
-    chooses among them.
+    Several matches stay; the caller chooses among them. ``most`` is the highest number of
+    versions a member can have, where the caller knows it: a load adds one at most. Up to
+    ``FEW_VERSIONS`` of them are met by an equality join with the interval as residual. Members
+    with more are looked up along time instead (``operators.asof``), once per member and moment.
     """
     versions = dimension.select(
         F.col(on).alias("_on"),
@@ -61,14 +80,14 @@ def as_of_version(
         F.col("effective_date").alias(effective),
         F.col("end_date").alias("_end"),
     )
-    moment = F.col(at).cast("timestamp")
-    valid = (moment >= F.col(effective)) & (F.col("_end").isNull() | (moment < F.col("_end")))
-    matched = F.col("_lookup") == F.col("_on")
-    return (
-        rows.withColumn("_lookup", spread_missing(on, "order_id"))
-        .join(versions, matched & valid, "left")
-        .drop("_lookup", "_on", "_end")
+    rows = rows.withColumn("_lookup", spread_missing(on, "order_id")).withColumn(
+        "_moment", F.col(at).cast("timestamp")
     )
+    if most is not None and most <= FEW_VERSIONS:
+        found = asof.by_interval(rows, versions, effective)
+    else:
+        found = asof.along_time(rows, versions, effective, FEW_VERSIONS)
+    return found.drop("_lookup", "_moment", "_on", "_end")
 
 
 def orders_with_versions(
@@ -77,18 +96,22 @@ def orders_with_versions(
     dim_customer: DataFrame,
     dim_merchant: DataFrame,
     dim_staff: DataFrame,
+    most: int | None = None,
 ) -> DataFrame:
-    """Orders with the customer, merchant and staff versions valid on their date."""
+    """Orders with the customer, merchant and staff versions valid on their date.
+
+    ``most``: versions a member can have, where known.
+    """
     rows = orders.join(bridge.select("order_id", "merchant_bk", "staff_bk"), "order_id", "left")
-    rows = as_of_version(
-        rows, dim_customer, "user_id", "transaction_date", "customer_key", "_customer_from"
-    )
-    rows = as_of_version(
-        rows, dim_merchant, "merchant_bk", "transaction_date", "merchant_key", "_merchant_from"
-    )
-    return as_of_version(
-        rows, dim_staff, "staff_bk", "transaction_date", "staff_key", "_staff_from"
-    )
+    for dimension, on, key, effective in [
+        (dim_customer, "user_id", "customer_key", "_customer_from"),
+        (dim_merchant, "merchant_bk", "merchant_key", "_merchant_from"),
+        (dim_staff, "staff_bk", "staff_key", "_staff_from"),
+    ]:
+        # Several customers may share a user id, each with versions of its own.
+        known = None if on == "user_id" else most
+        rows = as_of_version(rows, dimension, on, "transaction_date", key, effective, known)
+    return rows
 
 
 def one_row_per_order(rows: DataFrame) -> DataFrame:
@@ -117,10 +140,11 @@ def build_fact_order(
     dim_merchant: DataFrame,
     dim_staff: DataFrame,
     dim_campaign: DataFrame,
+    most: int | None = None,
 ) -> DataFrame:
     """One row per order that has priced lines."""
     versioned = one_row_per_order(
-        orders_with_versions(orders, bridge, dim_customer, dim_merchant, dim_staff)
+        orders_with_versions(orders, bridge, dim_customer, dim_merchant, dim_staff, most)
     )
     joined = (
         versioned.join(metrics, "order_id")
@@ -174,19 +198,45 @@ def upsert_fact_order(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def match_lines(clean_products: DataFrame, clean_prices: DataFrame) -> DataFrame:
-    """n-th product line of an order with its n-th price line; the rest is dropped."""
-    products = clean_products.filter(F.col("product_id").isNotNull()).select(
-        "order_id", "product_id", "product_name", "line_item_seq"
-    )
-    prices = clean_prices.select(
+def match_lines(
+    product_lines: DataFrame, price_lines: DataFrame, hot_rows: int = HOT_ORDER_LINES
+) -> DataFrame:
+    """n-th product line of an order with its n-th price line; the rest is dropped.
+
+    Both kinds are shuffled by order together, numbered per order and kind and zipped by a grouped
+    aggregate, all in one exchange of the lines. Orders with more than ``hot_rows`` lines are
+    numbered in chunks of row positions and zipped by (order, number) instead.
+    """
+    lines = product_lines.select(
         "order_id",
-        F.col("price").alias("unit_price"),
-        "quantity",
-        "line_total_amount",
-        "line_item_seq",
+        *LINE_ORDER,
+        F.struct("product_id", "product_name").alias("product"),
+        F.lit(None).cast(PRICE).alias("price"),
+    ).unionByName(
+        price_lines.select(
+            "order_id",
+            *LINE_ORDER,
+            F.lit(None).cast("struct<product_id: string, product_name: string>").alias("product"),
+            F.struct(F.col("price").alias("unit_price"), "quantity", "line_total_amount").cast(PRICE).alias("price"),
+        )
+    )
+    lines = lines.withColumn("kind", F.col("price").isNotNull())
+    usual, large = split_hot(lines, "order_id", hot_rows)
+    of_kind = ["order_id", "kind"]
+    usual = number_usual(usual.repartition("order_id"), of_kind, LINE_ORDER, "line_item_seq")
+    if large is None:
+        return _zipped(usual)
+    large = number_in_chunks(large, of_kind, LINE_ORDER, "line_item_seq")
+    return _zipped(usual).unionByName(_zipped(large))
+
+
+def _zipped(numbered: DataFrame) -> DataFrame:
+    pairs = numbered.groupBy("order_id", "line_item_seq").agg(
+        F.first("product", ignorenulls=True).alias("product"),
+        F.first("price", ignorenulls=True).alias("price"),
     )
-    return products.join(prices, ["order_id", "line_item_seq"])
+    whole = pairs.filter("product.product_id is not null and price is not null")
+    return whole.select("order_id", "product.*", "price.*", "line_item_seq")
 
 
 def lines_with_product(matched: DataFrame, dim_product: DataFrame) -> DataFrame:

@@ -12,14 +12,23 @@ _MIN_CHUNK = 65_536
 
 
 def oversized(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows.
+    """Keys with more than ``limit`` rows."""
+    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    return counts.filter(F.col("_rows") > limit).select(key)
+
+
+def split_hot(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of keys with at most ``limit`` rows, and those of the others, if there are any.
 
-    The result has a shuffle of its own: adaptive execution then knows its true size before it
-    plans the joins with it, and drops both the join and the branch for large keys when there
-    are none.
+    One count of the keys, in a pass over that column alone, decides whether there are: usually
+    there are none, and the plan then has neither a join nor a second branch.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    return counts.filter(F.col("_rows") > limit).select(key).repartition(key)
+    hot = oversized(df, key, limit)
+    if hot.isEmpty():
+        return df, None
+    # A shuffle of its own shows adaptive execution how few they are.
+    hot = hot.repartition(key)
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
 
 
 def number_within(
@@ -29,30 +38,33 @@ def number_within(
 
     Keys with at most ``hot_rows`` rows are numbered by one window. The few larger ones are
     numbered piecewise: each key is cut into chunks of row positions, every chunk is numbered by
-    itself and shifted by the size of the chunks before it. With no large key, adaptive
-    execution drops the second branch.
+    itself and shifted by the size of the chunks before it.
     """
-    hot = oversized(df, key, hot_rows)
-    usual = df.join(hot, key, "left_anti")
-    by_key = Window.partitionBy(key).orderBy(*order)
-    usual = usual.withColumn(name, F.row_number().over(by_key).cast("long"))
-    large = df.join(hot, key, "left_semi")
-    return usual.unionByName(_number_in_chunks(large, key, order, name))
+    usual, large = split_hot(df, key, hot_rows)
+    numbered = number_usual(usual, [key], order, name)
+    if large is None:
+        return numbered
+    return numbered.unionByName(number_in_chunks(large, [key], order, name))
+
+
+def number_usual(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    by_key = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(by_key).cast("long"))
 
 
-def _number_in_chunks(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
+def number_in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     *outer, position = order
-    widths = df.groupBy(key).agg(
+    widths = df.groupBy(*keys).agg(
         F.greatest(F.lit(_MIN_CHUNK), F.floor(F.max(position) / _CHUNKS) + 1).alias("_width")
     )
-    chunk = [key, *outer, "_chunk"]
+    chunk = [*keys, *outer, "_chunk"]
     cut = (
-        df.join(widths, key)
+        df.join(widths, list(keys))
         .withColumn("_chunk", F.floor(F.col(position) / F.col("_width")))
         .drop("_width")
     )
     sizes = cut.groupBy(*chunk).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(key).orderBy(*outer, "_chunk")
+    before = Window.partitionBy(*keys).orderBy(*outer, "_chunk")
     offsets = sizes.select(
         *chunk, (F.sum("_size").over(before) - F.col("_size")).alias("_before")
     )

@@ -1,8 +1,10 @@
-"""Slowly changing dimensions, from the old table and new source rows to the new table."""
+"""Slowly changing dimensions: what a delivery changes, the versions it closes and begins."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,13 +19,6 @@ from bazaarlake.sources.schemas import WAREHOUSE, conform
 BEGINNING = "1900-01-01 00:00:00"
 UNKNOWN_KEY = -1
 
-# Called with (rows, name); may write the rows to a table and return that table.
-Stage = Callable[[DataFrame, str], DataFrame]
-
-
-def keep_lazy(rows: DataFrame, name: str) -> DataFrame:
-    return rows
-
 
 def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """True when any pair differs, NULLs counting as equal to each other."""
@@ -45,162 +40,147 @@ def scd2_changes(
     )
 
 
-def scd2_merge(
-    table: str,
-    current: DataFrame,
-    source: DataFrame,
-    key: str,
-    bk: str,
-    tracked: Sequence[str],
-    now: str,
-    first_effective: str = BEGINNING,
-    stage: Stage = keep_lazy,
-) -> DataFrame:
-    """Type 2 load: one source row per ``bk``; the whole new table comes back.
+@dataclass(frozen=True)
+class Type2:
+    """How a dimension keeps versions: its keys, what a change is, where its rows come from."""
+
+    table: str
+    key: str
+    bk: str
+    tracked: tuple[str, ...]
+    # Cleaned table the rows come from, and what makes one row per business key of it.
+    source: str
+    one_per_key: Callable[[DataFrame], DataFrame]
+    # Values of the member with key -1, if there is one.
+    unknown: dict | None = None
+    # When the first version of a member begins; None for the time of the load.
+    first_effective: str | None = BEGINNING
 
-    Unchanged rows stay as they are. A changed version ends one second before ``now`` and a new
-    one starts at ``now``; a business key seen for the first time starts at ``first_effective``.
-    """
+
+def scd2_inserts(kind: Type2, current: DataFrame, changes: DataFrame, now: str) -> DataFrame:
+    """New versions of the changes: one begins at ``now``, that of a member seen for the first
+    time at ``first_effective``. The unknown member comes along when it is not there yet."""
     moment = F.lit(now).cast("timestamp")
-    changes = stage(scd2_changes(current, source, key, bk, tracked), f"{table}_changes")
+    first = moment if kind.first_effective is None else F.lit(kind.first_effective).cast("timestamp")
+    begun = (
+        changes.withColumn("is_current", F.lit(True))
+        .withColumn("effective_date", F.when(F.col("_old_key").isNull(), first).otherwise(moment))
+        .withColumn("end_date", F.lit(None).cast("timestamp"))
+    )
+    inserted = surrogate_keys(
+        begun,
+        kind.key,
+        spread=F.col(kind.bk),
+        order=[kind.bk],
+        start=highest_key(current, kind.key),
+    )
+    inserted = conform(inserted, WAREHOUSE[kind.table])
+    if kind.unknown is None:
+        return inserted
+    return inserted.unionByName(unknown_member(kind.table, current, kind.key, kind.unknown))
+
 
+def scd2_apply(kind: Type2, rows: DataFrame, changes: DataFrame, now: str) -> DataFrame:
+    """Rows of the dimension, those whose member changes closed one second before ``now``."""
     closing = changes.filter(F.col("_old_key").isNotNull()).select(
-        F.col("_old_key").alias(key), F.lit(True).alias("_closing")
+        F.col("_old_key").alias(kind.key), F.lit(True).alias("_closing")
     )
     closed = F.col("_closing").isNotNull()
-    kept = (
-        current.join(closing, key, "left")
+    end = F.lit(now).cast("timestamp") - F.expr("interval 1 second")
+    applied = (
+        rows.join(closing, kind.key, "left")
         .withColumn("is_current", F.col("is_current") & ~closed)
-        .withColumn(
-            "end_date",
-            F.when(closed, moment - F.expr("interval 1 second")).otherwise(F.col("end_date")),
-        )
+        .withColumn("end_date", F.when(closed, end).otherwise(F.col("end_date")))
     )
-    inserted = surrogate_keys(
-        changes.withColumn("is_current", F.lit(True))
-        .withColumn(
-            "effective_date",
-            F.when(F.col("_old_key").isNull(), F.lit(first_effective).cast("timestamp")).otherwise(
-                moment
-            ),
-        )
-        .withColumn("end_date", F.lit(None).cast("timestamp")),
-        key,
-        spread=F.col(bk),
-        order=[bk],
-        start=highest_key(current, key),
-    )
-    schema = WAREHOUSE[table]
-    return conform(kept, schema).unionByName(conform(inserted, schema))
+    return conform(applied, WAREHOUSE[kind.table])
 
 
-def with_unknown_member(table: str, dimension: DataFrame, key: str, values: dict) -> DataFrame:
-    """Adds the row with key -1 unless it is there."""
+def unknown_member(table: str, dimension: DataFrame, key: str, values: dict) -> DataFrame:
+    """The row with key -1, unless the dimension has it."""
     literals = {key: UNKNOWN_KEY, **values}
     schema = WAREHOUSE[table]
     member = dimension.sparkSession.range(1).select(
         [F.lit(literals.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
     present = dimension.filter(F.col(key) == UNKNOWN_KEY).select(key)
-    return dimension.unionByName(member.join(present, key, "left_anti").select(*schema.names))
+    return member.join(present, key, "left_anti").select(*schema.names)
 
 
 _OPEN = {"is_current": True, "effective_date": BEGINNING}
+_STAFF_HASHED = ["name", "job_level", "street", "city", "state", "country", "contact_number"]
 
 
-def load_dim_customer(
-    current: DataFrame, source: DataFrame, now: str, stage: Stage = keep_lazy
-) -> DataFrame:
-    """Gender, birth and creation date are inside the business key; the user id is not compared."""
-    tracked = [
-        "name",
-        "street",
-        "city",
-        "state",
-        "country",
-        "device_address",
-        "user_type",
-        "job_title",
-        "job_level",
-        "credit_card_number",
-        "issuing_bank",
-    ]
-    merged = scd2_merge(
-        "dim_customer", current, source, "customer_key", "user_bk", tracked, now, stage=stage
-    )
-    unknown = {**_OPEN, "user_bk": "UNKNOWN", "user_id": "UNKNOWN", "name": "Unknown Customer"}
-    return with_unknown_member("dim_customer", merged, "customer_key", unknown)
+def _newest(bk: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda clean: newest_per(clean, [bk]).drop(*LINEAGE)
 
 
-def load_dim_merchant(
-    current: DataFrame, clean_merchants: DataFrame, now: str, stage: Stage = keep_lazy
-) -> DataFrame:
-    tracked = ["street", "city", "state", "country", "contact_number"]
-    source = newest_per(clean_merchants, ["merchant_bk"]).drop(*LINEAGE)
-    merged = scd2_merge(
-        "dim_merchant", current, source, "merchant_key", "merchant_bk", tracked, now, stage=stage
+def _staff(clean: DataFrame) -> DataFrame:
+    return _newest("staff_bk")(clean).withColumn(
+        "staff_attribute_hash", attribute_hash(*[F.col(c) for c in _STAFF_HASHED])
     )
-    unknown = {
-        **_OPEN,
-        "merchant_bk": "UNKNOWN",
-        "merchant_id": "UNKNOWN",
-        "name": "Unknown Merchant",
-    }
-    return with_unknown_member("dim_merchant", merged, "merchant_key", unknown)
 
 
-def load_dim_staff(
-    current: DataFrame, clean_staff: DataFrame, now: str, stage: Stage = keep_lazy
-) -> DataFrame:
-    hashed = [
-        "name",
-        "job_level",
-        "street",
-        "city",
-        "state",
-        "country",
-        "contact_number",
-    ]
-    source = (
-        newest_per(clean_staff, ["staff_bk"])
-        .drop(*LINEAGE)
-        .withColumn("staff_attribute_hash", attribute_hash(*[F.col(c) for c in hashed]))
-    )
-    merged = scd2_merge(
-        "dim_staff",
-        current,
-        source,
-        "staff_key",
-        "staff_bk",
-        ["staff_attribute_hash"],
-        now,
-        stage=stage,
-    )
-    unknown = {**_OPEN, "staff_bk": "UNKNOWN", "staff_id": "UNKNOWN", "name": "Unknown Staff"}
-    merged = with_unknown_member("dim_staff", merged, "staff_key", unknown)
-    return merged.withColumn(
-        "staff_attribute_hash",
-        F.when(F.col("staff_key") == UNKNOWN_KEY, F.md5(F.lit("UNKNOWN"))).otherwise(
-            F.col("staff_attribute_hash")
+TYPE2 = {
+    kind.table: kind
+    for kind in [
+        # Gender, birth and creation date are inside the business key; the user id is not compared.
+        Type2(
+            "dim_customer",
+            "customer_key",
+            "user_bk",
+            (
+                "name",
+                "street",
+                "city",
+                "state",
+                "country",
+                "device_address",
+                "user_type",
+                "job_title",
+                "job_level",
+                "credit_card_number",
+                "issuing_bank",
+            ),
+            "customer_source",
+            lambda source: source,
+            {**_OPEN, "user_bk": "UNKNOWN", "user_id": "UNKNOWN", "name": "Unknown Customer"},
         ),
-    )
-
-
-def load_dim_product(
-    current: DataFrame, clean_products: DataFrame, now: str, stage: Stage = keep_lazy
-) -> DataFrame:
-    """New products start at ``now``; there is no unknown product."""
-    return scd2_merge(
-        "dim_product",
-        current,
-        clean_products.drop(*LINEAGE),
-        "product_key",
-        "product_bk",
-        ["product_attribute_hash"],
-        now,
-        first_effective=now,
-        stage=stage,
-    )
+        Type2(
+            "dim_merchant",
+            "merchant_key",
+            "merchant_bk",
+            ("street", "city", "state", "country", "contact_number"),
+            "merchants",
+            _newest("merchant_bk"),
+            {**_OPEN, "merchant_bk": "UNKNOWN", "merchant_id": "UNKNOWN", "name": "Unknown Merchant"},
+        ),
+        Type2(
+            "dim_staff",
+            "staff_key",
+            "staff_bk",
+            ("staff_attribute_hash",),
+            "staff",
+            _staff,
+            {
+                **_OPEN,
+                "staff_bk": "UNKNOWN",
+                "staff_id": "UNKNOWN",
+                "name": "Unknown Staff",
+                "staff_attribute_hash": hashlib.md5(b"UNKNOWN").hexdigest(),
+            },
+        ),
+        # New products start at the load; there is no unknown product.
+        Type2(
+            "dim_product",
+            "product_key",
+            "product_bk",
+            ("product_attribute_hash",),
+            "products",
+            lambda clean: clean.drop(*LINEAGE),
+            first_effective=None,
+        ),
+    ]
+}
 
 
 def load_dim_campaign(current: DataFrame, clean_campaigns: DataFrame) -> DataFrame:
@@ -232,4 +212,4 @@ def load_dim_campaign(current: DataFrame, clean_campaigns: DataFrame) -> DataFra
         "campaign_description": "Unknown",
         "discount_value": 0,
     }
-    return with_unknown_member("dim_campaign", merged, "campaign_key", unknown)
+    return merged.unionByName(unknown_member("dim_campaign", current, "campaign_key", unknown))

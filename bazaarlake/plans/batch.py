@@ -31,7 +31,7 @@ def clean_sources(staging: Mapping[str, DataFrame]) -> LazyTables:
         )
 
     def metrics() -> DataFrame:
-        return facts.order_metrics(cleaning.line_prices(staging["stg_line_items_prices"]))
+        return facts.order_metrics(tables["price_lines"])
 
     tables = LazyTables(
         {
@@ -43,6 +43,9 @@ def clean_sources(staging: Mapping[str, DataFrame]) -> LazyTables:
             "order_delays": over("stg_order_delays", cleaning.clean_order_delays),
             "line_prices": over("stg_line_items_prices", cleaning.clean_line_prices),
             "line_products": over("stg_line_items_products", cleaning.clean_line_products),
+            # Not numbered: numbers are given when products and prices are matched.
+            "product_lines": over("stg_line_items_products", cleaning.line_products),
+            "price_lines": over("stg_line_items_prices", cleaning.line_prices),
             "order_merchant": over(
                 "stg_order_merchant",
                 cleaning.clean_order_merchant,
@@ -70,42 +73,47 @@ def clean_sources(staging: Mapping[str, DataFrame]) -> LazyTables:
     return tables
 
 
-def load_dimensions(
-    current: Mapping[str, DataFrame],
+def load_dimension(
+    warehouse: Warehouse,
+    table: str,
+    old: list[str],
     staging: Mapping[str, DataFrame],
     clean: Mapping[str, DataFrame],
     now: str,
-    stage: scd.Stage = scd.keep_lazy,
-) -> LazyTables:
-    """The new dimension tables."""
-
-    def type2(load: Callable[..., DataFrame], table: str, source: str) -> DataFrame:
-        return load(current[table], clean[source], now, stage)
+) -> list[str]:
+    """Folders of one dimension after the load.
 
-    return LazyTables(
-        {
-            "dim_customer": partial(
-                type2, scd.load_dim_customer, "dim_customer", "customer_source"
-            ),
-            "dim_product": partial(type2, scd.load_dim_product, "dim_product", "products"),
-            "dim_staff": partial(type2, scd.load_dim_staff, "dim_staff", "staff"),
-            "dim_merchant": partial(type2, scd.load_dim_merchant, "dim_merchant", "merchants"),
-            "dim_campaign": lambda: scd.load_dim_campaign(
-                current["dim_campaign"], clean["campaigns"]
-            ),
-            "dim_date": lambda: calendar.load_dim_date(current["dim_date"], staging),
-        }
-    )
+    Of a dimension with versions only the buckets with a change are written anew; closed versions
+    go to folders that no load opens for writing again.
+    """
+    current = warehouse.read_folders(table, old)
+    if table in scd.TYPE2:
+        kind = scd.TYPE2[table]
+        source = kind.one_per_key(clean[kind.source])
+        changes = warehouse.stage(
+            scd.scd2_changes(current, source, kind.key, kind.bk, kind.tracked), f"{table}_changes"
+        )
+        return warehouse.rewrite_buckets(
+            table,
+            old,
+            kind.bk,
+            scd.scd2_inserts(kind, current, changes, now),
+            lambda rows: scd.scd2_apply(kind, rows, changes, now),
+        )
+    if table == "dim_campaign":
+        return warehouse.write(table, scd.load_dim_campaign(current, clean["campaigns"]))
+    return warehouse.write(table, calendar.load_dim_date(current, staging))
 
 
 def incoming_lines(clean: Mapping[str, DataFrame], dim_product: DataFrame) -> DataFrame:
-    matched = facts.match_lines(clean["line_products"], clean["line_prices"])
+    matched = facts.match_lines(clean["product_lines"], clean["price_lines"])
     return facts.lines_with_product(matched, dim_product)
 
 
 def incoming_orders(
-    clean: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame]
+    clean: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame], most: int | None = None
 ) -> DataFrame:
+    """Orders of a delivery as fact rows; ``most``: versions a member can have, where known."""
     return facts.build_fact_order(
         clean["orders"],
         clean["order_merchant"],
@@ -116,6 +124,7 @@ def incoming_orders(
         dimensions["dim_merchant"],
         dimensions["dim_staff"],
         dimensions["dim_campaign"],
+        most,
     )
 
 
@@ -138,17 +147,12 @@ def run_batch(warehouse: Warehouse, staging: Mapping[str, DataFrame], now: str)
     """
     clean = clean_sources(staging)
     before = warehouse.folders()
-    current = {t: warehouse.read_folders(t, before.get(t, [])) for t in DIMENSIONS}
-
-    # Dimensions are whole small tables next to the facts: rewritten each time.
-    loaded = load_dimensions(current, staging, clean, now, warehouse.stage)
 
-    def write_dimension(table: str) -> list[str]:
-        return warehouse.write(table, loaded[table])
+    def load(table: str) -> list[str]:
+        return load_dimension(warehouse, table, before.get(table, []), staging, clean, now)
 
     with ThreadPoolExecutor(_AT_ONCE) as pool:
-        written = list(pool.map(write_dimension, loaded))
-    after = dict(zip(loaded, written))
+        after = dict(zip(DIMENSIONS, pool.map(load, DIMENSIONS)))
     dimensions = {t: warehouse.read_folders(t, f) for t, f in after.items()}
 
     with ThreadPoolExecutor(_AT_ONCE) as pool:
@@ -156,7 +160,8 @@ def run_batch(warehouse: Warehouse, staging: Mapping[str, DataFrame], now: str)
         orders = pool.submit(_load_orders, warehouse, before, clean, dimensions)
         after["fact_order_line_item"] = lines.result()
         after["fact_order"] = orders.result()
-    return warehouse.publish(after)
+    known = {t: warehouse.filters_of(t, after[t]) for t in ["fact_order", "fact_order_line_item"]}
+    return warehouse.publish({**after, "filters": known})
 
 
 def _load_lines(
@@ -168,7 +173,7 @@ def _load_lines(
     """Folders of the line items; only those with an order of this delivery are rewritten."""
     table = "fact_order_line_item"
     old = before.get(table, [])
-    reloaded = clean["line_products"].select("order_id")
+    reloaded = clean["product_lines"].select("order_id")
     touched = warehouse.touched(table, old, reloaded)
     # Keys need the sizes of all key buckets and then the rows again: matched once, read twice.
     incoming = warehouse.stage(incoming_lines(clean, dimensions["dim_product"]), "incoming_lines")
@@ -190,7 +195,8 @@ def _load_orders(
     """Folders of the orders; only those with an order of this delivery are rewritten."""
     table = "fact_order"
     old = before.get(table, [])
-    incoming = incoming_orders(clean, dimensions)
+    # Every load adds one version of a member at most.
+    incoming = incoming_orders(clean, dimensions, len(warehouse.versions()) + 1)
     if old:
         incoming = warehouse.stage(incoming, "incoming_orders")
     touched = warehouse.touched(table, old, incoming)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -169,7 +171,7 @@ def fact_order_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_lines_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = batch.clean_sources(tpch.staging(spark, sf_dir))
-    return plain(facts.match_lines(clean["line_products"], clean["line_prices"]))
+    return plain(facts.match_lines(clean["product_lines"], clean["price_lines"]))
 
 
 # --- loads and checks -----------------------------------------------------------------------------
@@ -202,18 +204,18 @@ def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- files ------------------------------------------------------------------------------------------
 
-_delivered: dict[tuple[str, str], str] = {}
+_delivered: dict[tuple[str, str, str], str] = {}
 
 
-def delivery(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with the driver tables written out as departmental files, once per application."""
+def delivery(spark: SparkSession, sf_dir: str, kind: str = "delivery") -> str:
+    """Folder with driver tables written out as departmental files, once per application."""
     application = spark.sparkContext.applicationId
-    if (application, sf_dir) not in _delivered:
-        name = sf_dir.strip("/").replace("/", "_")
-        root = f"{shared_dir(spark)}/delivery/{application}/{name}"
-        tpch_files.write_delivery(spark, sf_dir, root)
-        _delivered[(application, sf_dir)] = root
-    return _delivered[(application, sf_dir)]
+    if (application, sf_dir, kind) not in _delivered:
+        name = re.sub(r"\W+", "_", sf_dir)
+        root = f"{shared_dir(spark)}/{kind}/{application}/{name}-{uuid.uuid4().hex}"
+        getattr(tpch_files, f"write_{kind}")(spark, sf_dir, root)
+        _delivered[(application, sf_dir, kind)] = root
+    return _delivered[(application, sf_dir, kind)]
 
 
 def _ingested(table: str) -> Query:
@@ -273,6 +275,32 @@ def ingest_row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaigns whose descriptions hold line breaks, quotes and delimiters inside quotes."""
+    root = delivery(spark, sf_dir, "quoted_delivery")
+    valid, _ = files.ingest(spark, root, "stg_campaign", tpch_files.LOAD_TIME)
+    return valid.select(
+        "campaign_id",
+        "campaign_name",
+        F.md5("campaign_description").alias("description_md5"),
+        F.length("campaign_description").cast("long").alias("description_length"),
+        "discount",
+    )
+
+
+def ingest_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs from pretty-printed and one-line arrays with braces inside strings."""
+    root = delivery(spark, sf_dir, "array_delivery")
+    valid, _ = files.ingest(spark, root, "stg_user_job", tpch_files.LOAD_TIME)
+    return valid.select(
+        "user_id",
+        "name",
+        F.md5("job_title").alias("title_md5"),
+        F.length("job_title").cast("long").alias("title_length"),
+        "job_level",
+    )
+
+
 def html_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = html.table_rows(tpch_files.supplier_pages(spark, sf_dir))
     return html.table_columns(rows, ["field_name", "field_value"])
@@ -307,6 +335,8 @@ def queries() -> dict[str, Query]:
         ingest_file_discovery,
         ingest_staging_counts,
         ingest_row_ordinal,
+        ingest_csv_quoted,
+        ingest_json_array,
         html_table_scan,
     ]:
         found[query.__name__] = query

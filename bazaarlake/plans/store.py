@@ -7,51 +7,72 @@ leaves the previous list in force and can be run again.
 
 from __future__ import annotations
 
-import json
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from bazaarlake.plans import filters
 from bazaarlake.sources import paths
+from bazaarlake.sources.published import Published
 from bazaarlake.sources.schemas import STAGING, WAREHOUSE, no_rows
 
 # Past this many folders a load also joins the smaller half of them.
 MOST_FOLDERS = 256
 
+# Bytes from which a fact folder gets a filter.
+FILTER_FROM = 64 << 20
+
 # Facts are cut by the year of the order; a trailing window then reads one or two folders.
 YEARLY = {"fact_order"}
 
+# Open versions of a dimension are cut into buckets of so many bytes, up to so many buckets.
+BUCKET_BYTES = 64 << 20
+MOST_BUCKETS = 256
+_BUCKET = re.compile(r"/bucket=(\d+)of(\d+)$")
+
 _FOLDER_NAME = r"(load=[0-9a-f]+(?:/order_year=-?[0-9]+)?)/[^/]+$"
 
 
+def _bucket(bk: str, count: int) -> Column:
+    return F.pmod(F.xxhash64(bk), F.lit(count)).cast("int")
+
+
 def _folder_name(folder: str) -> str:
     """The part of a folder that tells it from the others of its table."""
     return folder[folder.index("load=") :].rstrip("/")
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables under ``root``. Fact folders of at least ``filter_from`` bytes get a filter of their
+    orders; smaller ones are read faster than it. Open versions of a dimension lie in buckets of
+    about ``bucket_bytes``."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        filter_from: int = FILTER_FROM,
+        bucket_bytes: int = BUCKET_BYTES,
+    ):
         self.spark = spark
+        self.filter_from = filter_from
+        self.bucket_bytes = bucket_bytes
         self.root = root.rstrip("/")
+        self.lists = Published(spark, self.root)
 
     # --- reading ---
 
     def versions(self) -> list[str]:
         """The published lists, oldest first."""
-        names = [f for f in paths.files_in(self.spark, self.root) if "/tables." in f]
-        names = [f for f in names if not f.endswith(".next")]
-        return sorted(names, key=lambda f: int(f.rsplit(".", 1)[1]))
+        return self.lists.versions()
 
     def folders(self, version: int | None = None) -> dict[str, list[str]]:
         """Folders of every table, by default of the latest version (the first is 1)."""
-        lists = self.versions()
-        if not lists:
-            return {}
-        wanted = lists[-1] if version is None else f"{self.root}/tables.{version}"
-        return json.loads(paths.read_text(self.spark, wanted))
+        return self.lists.read(version)
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         return self.read_folders(table, self.folders(version).get(table, []))
@@ -91,6 +112,49 @@ class Warehouse:
         )
         return paths.folders_in(self.spark, folder)
 
+    def rewrite_buckets(
+        self,
+        table: str,
+        old: Sequence[str],
+        bk: str,
+        inserted: DataFrame,
+        applied: Callable[[DataFrame], DataFrame],
+    ) -> list[str]:
+        """Folders of a dimension with versions after a load; only buckets with a change are new.
+
+        Open versions lie in buckets of their business key, closed ones in folders of their own
+        that stay as they are. ``inserted`` are the new versions; a changed member has one, so
+        their buckets are those to be rewritten, and ``applied`` closes what ends in them. When
+        the table has outgrown its buckets four times, a load rewrites all of them into more.
+        """
+        live = {int(m[1]): folder for folder in old if (m := _BUCKET.search(folder))}
+        closed = [folder for folder in old if not _BUCKET.search(folder)]
+        count = next((int(_BUCKET.search(folder)[2]) for folder in old if _BUCKET.search(folder)), 1)
+        size = sum(paths.size_of(self.spark, folder) for folder in live.values())
+        wanted = 1
+        while wanted < MOST_BUCKETS and wanted * self.bucket_bytes < size:
+            wanted *= 2
+        inserted = self.stage(inserted, f"{table}_inserted")
+        if wanted >= 4 * count:
+            count, hit = wanted, set(live)
+        else:
+            hit = {row[0] for row in inserted.select(_bucket(bk, count)).distinct().collect()}
+        if not hit and not inserted.take(1):
+            return list(old)
+        schema = WAREHOUSE[table]
+        rewritten = [folder for bucket, folder in live.items() if bucket in hit]
+        rows = applied(self.read_folders(table, rewritten)).unionByName(inserted.select(*schema.names))
+        name = F.concat(_bucket(bk, count).cast("string"), F.lit(f"of{count}"))
+        folder = f"{self.root}/{table}/load={uuid.uuid4().hex}"
+        (
+            rows.withColumn("bucket", F.when(F.col("is_current"), name).otherwise("closed"))
+            .hint("rebalance", "bucket")
+            .write.partitionBy("bucket")
+            .parquet(folder)
+        )
+        kept = [folder for folder in live.values() if folder not in rewritten]
+        return closed + kept + paths.folders_in(self.spark, folder)
+
     def stage(self, rows: DataFrame, name: str) -> DataFrame:
         """Rows written to the shared folder and read back: lineage ends there."""
         folder = f"{self.root}/staged/{name}-{uuid.uuid4().hex}"
@@ -102,31 +166,60 @@ class Warehouse:
 
         Fails when another writer has published that number meanwhile.
         """
-        lists = self.versions()
-        number = int(lists[-1].rsplit(".", 1)[1]) + 1 if lists else 1
-        paths.write_text(self.spark, f"{self.root}/tables.{number}", json.dumps(folders))
-        return number
+        return self.lists.publish(folders)
 
     def touched(self, table: str, folders: Sequence[str], order_ids: DataFrame) -> list[str]:
         """Folders a reload rewrites: those that hold any of the given orders.
 
-        One scan of the order id column; at most one row per folder reaches the driver. When the
-        list has grown long, the smaller half of the folders is taken along, so large old ones
-        are left alone.
+        Folders with a filter are opened only if it lets an order through. One scan of the order
+        id column of the others; at most one row per folder reaches the driver. When the list has
+        grown long, the smaller half of the folders is taken along, so large old ones are left
+        alone.
         """
         if not folders:
             return []
+        opened = self.may_hold(table, folders, order_ids)
         name = F.regexp_extract("_metadata.file_path", _FOLDER_NAME, 1)
         hit = (
-            self.read_folders(table, folders, with_file=True)
+            self.read_folders(table, opened, with_file=True)
             .select("order_id", name.alias("_folder"))
             .join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
             .select("_folder")
             .distinct()
             .collect()
+            if opened
+            else []
         )
         taken = {row[0] for row in hit}
         if len(folders) > MOST_FOLDERS:
             by_size = sorted(folders, key=lambda folder: paths.size_of(self.spark, folder))
             taken.update(_folder_name(folder) for folder in by_size[: len(folders) // 2])
         return [folder for folder in folders if _folder_name(folder) in taken]
+
+    # --- filters ---
+
+    def filters(self, version: int | None = None) -> dict[str, dict]:
+        """Per table and folder name: what the published list knows of the folder's order ids."""
+        return self.lists.read(version).get("filters", {})
+
+    def may_hold(self, table: str, folders: Sequence[str], order_ids: DataFrame) -> list[str]:
+        """Folders without a filter, and those whose filter lets one of the orders through."""
+        facts = filters.names_of(folders, self.filters().get(table, {}), _folder_name)
+        if not facts:
+            return list(folders)
+        hit = filters.may_hold(self.spark, facts, order_ids)
+        return [f for f in folders if _folder_name(f) not in facts or _folder_name(f) in hit]
+
+    def filters_of(self, table: str, folders: Sequence[str]) -> dict[str, dict]:
+        """Filters of these folders: known ones, and new ones for large folders without."""
+        known = filters.names_of(folders, self.filters().get(table, {}), _folder_name)
+        fresh = [
+            folder
+            for folder in folders
+            if _folder_name(folder) not in known and paths.size_of(self.spark, folder) >= self.filter_from
+        ]
+        if not fresh:
+            return known
+        name = F.regexp_extract("_metadata.file_path", _FOLDER_NAME, 1)
+        ids = self.read_folders(table, fresh, with_file=True).select(name.alias("_folder"), "order_id")
+        return {**known, **filters.build(self.spark, ids, f"{self.root}/filters/{table}")}

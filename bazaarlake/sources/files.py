@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import csv
 import io
+import json
+import uuid
 from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.functions.text import present
-from bazaarlake.sources import html, paths
+from bazaarlake.sources import html, paths, records
+from bazaarlake.sources.published import Published
 from bazaarlake.sources.schemas import STAGING, no_rows
 
+# File starts read, and tables loaded, at the same time.
+_AT_ONCE = 4
 SNIFF_BYTES = 1024
 HEADER_BYTES = 65_536
 DELIMITERS = ",;\t|"
@@ -59,7 +65,14 @@ class FileLayout:
     format: str
     columns: tuple[str, ...]
     delimiter: str | None = None
+    # JSON: one object per line, or an array. CSV: what ends a line.
     lines: bool = True
+    line_end: str = "\n"
+    # Records go on across the places where the file is cut; the file's name in a scan and the
+    # place of its header there.
+    spread: bool = False
+    scanned: str | None = None
+    header_at: int | None = None
 
     @property
     def names(self) -> tuple[str, ...]:
@@ -132,9 +145,39 @@ def csv_layout(path: str, start: bytes, delimiter: str | None = None) -> FileLay
     if not text.strip():
         raise ValueError("empty file")
     delimiter = delimiter or detect_delimiter(text[:SNIFF_BYTES])
-    header = next(csv.reader(io.StringIO(text), delimiter=delimiter))
+    header = next(csv.reader(io.StringIO(text, newline=None), delimiter=delimiter))
     named = tuple(c if c.strip() else f"_c{i}" for i, c in enumerate(header))
-    return FileLayout(path, "csv", named, delimiter)
+    line_end = "\n" if "\n" in text or "\r" not in text else "\r"
+    return FileLayout(path, "csv", named, delimiter, line_end=line_end)
+
+
+def json_layout(path: str, start: bytes) -> FileLayout:
+    """Layout from the objects that are whole in the first bytes of a JSON file."""
+    text = start.decode("utf-8-sig", errors="ignore").lstrip()
+    if not text:
+        raise ValueError("empty file")
+    array = text.startswith("[")
+    names: dict[str, None] = {}
+    at, decoder = int(array), json.JSONDecoder()
+    try:
+        while True:
+            at += len(text[at:]) - len(text[at:].lstrip(" \t\r\n,"))
+            row, at = decoder.raw_decode(text, at)
+            names.update(dict.fromkeys(row))
+    except (ValueError, TypeError):
+        # The end of the array or of the bytes at hand.
+        return FileLayout(path, "json", tuple(names), lines=not array)
+
+
+def json_names(spark: SparkSession, layout: FileLayout) -> tuple[str, ...]:
+    """Every field name of a JSON file, found by reading it all."""
+    if layout.lines:
+        objects = spark.read.text(layout.path).select("value")
+    else:
+        spread = records.json_files(spark, [layout.path])[layout.path].spread
+        objects = records.json_objects(spark, [layout.path], spread).select("value")
+    names = objects.select(F.explode(F.json_object_keys("value")).alias("name")).distinct()
+    return tuple(sorted(row["name"] for row in names.collect()))
 
 
 def file_layout(spark: SparkSession, path: str) -> FileLayout:
@@ -147,9 +190,7 @@ def file_layout(spark: SparkSession, path: str) -> FileLayout:
     if kind == "parquet":
         return FileLayout(path, kind, tuple(spark.read.parquet(path).columns))
     if kind == "json":
-        lines = not paths.head(spark, path, SNIFF_BYTES).lstrip().startswith(b"[")
-        columns = spark.read.option("multiLine", not lines).json(path).columns
-        return FileLayout(path, kind, tuple(columns), lines=lines)
+        return json_layout(path, paths.head(spark, path, HEADER_BYTES))
     first = html.table_rows(_pages(spark, [path])).select("header").first()
     if first is None:
         raise ValueError("no table rows")
@@ -161,22 +202,55 @@ def discover(
 ) -> tuple[list[FileLayout], list[tuple[str, str]]]:
     """Files of a folder that hold all required columns, and the others with the reason.
 
-    Only file starts and schemas are read. Unreadable files are skipped, not fatal.
+    A file is first judged by its start or schema. A JSON file whose first objects lack a column is
+    read for its field names. CSV files and JSON arrays that hold the columns are scanned for
+    records that go on across line breaks or braces, and passed over if they end inside one.
+    Unreadable files are skipped, not fatal.
     """
     wanted = {c.lower() for c in required}
-    valid, skipped = [], []
-    for path in paths.files_in(spark, folder):
+
+    def judged(path: str) -> FileLayout | tuple[str, str]:
         try:
             layout = file_layout(spark, path)
+            if layout.format == "json" and wanted - set(layout.names):
+                if paths.size_of(spark, path) > HEADER_BYTES:
+                    layout = replace(layout, columns=json_names(spark, layout))
         except Exception as problem:  # any unreadable file is passed over
-            skipped.append((path, f"cannot load file ({problem})"))
-            continue
+            return path, f"cannot load file ({problem})"
         missing = wanted - set(layout.names)
-        if missing:
-            skipped.append((path, f"missing columns {sorted(missing)}"))
+        return (path, f"missing columns {sorted(missing)}") if missing else layout
+
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        seen = list(pool.map(judged, paths.files_in(spark, folder)))
+    valid = [each for each in seen if isinstance(each, FileLayout)]
+    skipped = [each for each in seen if not isinstance(each, FileLayout)]
+    settled = _with_records(spark, valid)
+    skipped += [(each.path, "cannot load file (it ends inside a record)") for each in valid if each.path not in settled]
+    return [settled[each.path] for each in valid if each.path in settled], skipped
+
+
+def _with_records(spark: SparkSession, layouts: Sequence[FileLayout]) -> dict[str, FileLayout]:
+    """By path: layouts that know how their records lie; files that end inside one are left out."""
+    kinds: dict[tuple, list[FileLayout]] = defaultdict(list)
+    settled = {}
+    for layout in layouts:
+        if layout.format == "csv" or not layout.lines:
+            kinds[(layout.format, layout.delimiter, layout.line_end)].append(layout)
         else:
-            valid.append(layout)
-    return valid, skipped
+            settled[layout.path] = layout
+    for (kind, delimiter, line_end), group in kinds.items():
+        files = [each.path for each in group]
+        if kind == "csv":
+            found = records.csv_files(spark, files, delimiter, line_end)
+        else:
+            found = records.json_files(spark, files)
+        for layout in group:
+            facts = found[layout.path]
+            if not facts.broken:
+                settled[layout.path] = replace(
+                    layout, spread=facts.spread, scanned=facts.file, header_at=facts.first
+                )
+    return settled
 
 
 # --- scan -----------------------------------------------------------------------------------
@@ -188,14 +262,50 @@ def _pages(spark: SparkSession, files: list[str]) -> DataFrame:
     )
 
 
-def _row_position() -> Column:
-    """Position of a row in its file, taken at the scan and growing with the file.
+def _as_text(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
 
-    Byte offset of the block plus the row count of the task so far; a row of a line format takes
-    at least two bytes, so positions of one block stay below the start of the next.
+def _csv_options(layout: FileLayout) -> dict[str, str]:
+    return {
+        "sep": layout.delimiter,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
+def _spread_csv(spark: SparkSession, layouts: Sequence[FileLayout]) -> DataFrame:
+    """Rows of CSV files whose quoted fields hold line breaks, with their lineage.
+
+    Such records are joined from their lines and parsed one by one; blank ones are passed over.
     """
-    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return F.col("_metadata.file_block_start") + in_task
+    layout = layouts[0]
+    # One row per file of this layout.
+    headers = spark.createDataFrame(
+        [(each.scanned, each.header_at) for each in layouts], "file string, place long"
+    )
+    rows = (
+        records.csv_records(spark, [each.path for each in layouts], layout.delimiter, layout.line_end)
+        .join(F.broadcast(headers), ["file", "place"], "left_anti")
+        .filter(F.rlike("value", F.lit(r"\S")))
+        .withColumn("value", F.regexp_replace("value", "\r$", ""))
+    )
+    by_place = _as_text([f"f{i}" for i in range(len(layout.columns))])
+    parsed = F.from_csv("value", by_place.toDDL(), {**_csv_options(layout), "multiLine": "true"})
+    return rows.select(
+        parsed.alias("row"), F.col("name").alias("source_filename"), F.col("place").alias("ingest_ordinal")
+    ).select("row.*", "source_filename", "ingest_ordinal")
+
+
+def _json_array(spark: SparkSession, layouts: Sequence[FileLayout]) -> DataFrame:
+    """Rows of JSON arrays with their lineage; every value as text, nested ones as JSON."""
+    layout = layouts[0]
+    rows = records.json_objects(spark, [each.path for each in layouts], layout.spread)
+    parsed = F.from_json("value", _as_text(layout.columns))
+    return rows.select(
+        parsed.alias("row"), F.col("name").alias("source_filename"), F.col("place").alias("ingest_ordinal")
+    ).select("row.*", "source_filename", "ingest_ordinal")
 
 
 def scan_group(spark: SparkSession, layouts: Sequence[FileLayout]) -> DataFrame:
@@ -205,7 +315,7 @@ def scan_group(spark: SparkSession, layouts: Sequence[FileLayout]) -> DataFrame:
     """
     layout, files = layouts[0], [each.path for each in layouts]
     # Parquet rows know their number in the file; a row may take less than a byte there.
-    position = F.col("_metadata.row_index") if layout.format == "parquet" else _row_position()
+    position = F.col("_metadata.row_index") if layout.format == "parquet" else records.row_position()
     lineage = [
         F.col("_metadata.file_name").alias("source_filename"),
         position.alias("ingest_ordinal"),
@@ -218,21 +328,18 @@ def scan_group(spark: SparkSession, layouts: Sequence[FileLayout]) -> DataFrame:
         )
     if layout.format == "parquet":
         raw = spark.read.parquet(*files)
+        tagged = raw.select("*", *lineage)
+    elif layout.format == "json" and layout.lines:
+        tagged = spark.read.schema(_as_text(layout.columns)).json(files).select("*", *lineage)
     elif layout.format == "json":
-        raw = spark.read.option("multiLine", not layout.lines).json(files)
+        tagged = _json_array(spark, layouts)
+    elif layout.spread:
+        tagged = _spread_csv(spark, layouts)
     else:
-        by_place = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(layout.columns))])
-        raw = (
-            spark.read.schema(by_place)
-            .option("header", True)
-            .option("sep", layout.delimiter)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(files)
-        )
-    fields = raw.columns
-    tagged = raw.select("*", *lineage)
+        by_place = _as_text([f"f{i}" for i in range(len(layout.columns))])
+        raw = spark.read.schema(by_place).options(header=True, **_csv_options(layout)).csv(files)
+        tagged = raw.select("*", *lineage)
+    fields = tagged.columns[:-2]
     wanted: dict[str, str] = {}
     for field, name in zip(fields, layout.names):
         wanted.setdefault(name, field)
@@ -254,7 +361,8 @@ def scan(
     """One DataFrame per distinct layout, each with the required columns and lineage."""
     groups: dict[tuple, list[FileLayout]] = defaultdict(list)
     for layout in layouts:
-        groups[(layout.format, layout.delimiter, layout.columns, layout.lines)].append(layout)
+        kind = (layout.format, layout.delimiter, layout.columns, layout.lines, layout.line_end, layout.spread)
+        groups[kind].append(layout)
     return [
         require(scan_group(spark, group), [*columns, "source_filename", "ingest_ordinal"])
         for group in groups.values()
@@ -319,6 +427,8 @@ def typed(df: DataFrame, table: str) -> DataFrame:
             moment = parse_moment(value)
             complaint = F.raise_error(F.concat(F.lit(f"bad date in {field.name}: "), value))
             value = F.when(value.isNotNull(), F.coalesce(moment, complaint.cast("timestamp")))
+        if is_text and isinstance(field.dataType, (T.IntegerType, T.LongType)):
+            value = F.regexp_replace(value, r"\.0+$", "")
         columns.append(value.cast(field.dataType).alias(field.name))
     return df.select(columns)
 
@@ -359,14 +469,28 @@ def ingest(
     )
 
 
-def load_staging(spark: SparkSession, root: str, target: str, load_time: str) -> None:
-    """Replaces every staging table with this delivery; rejects go to a table of their own."""
-    for table, job in INGESTS.items():
-        valid, rejected = ingest(spark, root, table, load_time)
-        valid.write.mode("overwrite").parquet(f"{target}/{table}")
-        if job.checks:
-            rejected.write.mode("overwrite").parquet(f"{target}/{table}_rejected")
+def load_staging(spark: SparkSession, root: str, target: str, load_time: str) -> int:
+    """Replaces every staging table with this delivery; rejects go to a table of their own.
 
+    All tables are written into new folders, some at a time, and become visible together.
+    """
+    load = f"{target.rstrip('/')}/load={uuid.uuid4().hex}"
 
-def read_staging(spark: SparkSession, target: str) -> dict[str, DataFrame]:
-    return {t: spark.read.schema(STAGING[t]).parquet(f"{target}/{t}") for t in INGESTS}
+    def write(table: str) -> dict[str, str]:
+        valid, rejected = ingest(spark, root, table, load_time)
+        written = {table: f"{load}/{table}"}
+        valid.write.parquet(written[table])
+        if INGESTS[table].checks:
+            written[f"{table}_rejected"] = f"{load}/{table}_rejected"
+            rejected.write.parquet(written[f"{table}_rejected"])
+        return written
+
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        folders = {name: folder for written in pool.map(write, INGESTS) for name, folder in written.items()}
+    return Published(spark, target).publish(folders)
+
+
+def read_staging(spark: SparkSession, target: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The staging tables of one delivery, by default the latest."""
+    folders = Published(spark, target).read(version)
+    return {t: spark.read.schema(STAGING[t]).parquet(folders[t]) for t in INGESTS}

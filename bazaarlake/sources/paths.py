@@ -79,3 +79,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     if not fs.rename(aside, hadoop_path):
         fs.delete(aside, False)
         raise FileExistsError(path)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Renames a file; a target that is there already is an error."""
+    fs, hadoop_path, jvm = _open(spark, path)
+    if not fs.rename(hadoop_path, jvm.org.apache.hadoop.fs.Path(target)):
+        raise FileExistsError(target)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    fs, hadoop_path, _ = _open(spark, folder)
+    fs.mkdirs(hadoop_path)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.sources import tpch
+from bazaarlake.sources import paths, tpch
 from bazaarlake.sources.files import INGESTS
 from bazaarlake.sources.schemas import STAGING
 
@@ -73,6 +76,59 @@ def write_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
         getattr(writer, kind)(f"{root}/{INGESTS[table].folder}")
 
 
+def write_quoted_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Documents as campaign files: commas, doubled quotes and line breaks inside quoted fields."""
+    docs = tpch.driver_table(spark, sf_dir, "documents")
+    campaigns = docs.select(
+        F.concat(F.lit("C"), F.col("doc_id")).alias("Campaign ID"),
+        F.concat("lang", F.lit(', "'), "source", F.lit('"')).alias("Campaign Name"),
+        F.replace("text", F.lit("."), F.lit('."')).alias("Campaign Description"),
+        F.concat(F.col("n_chars") % 90, F.lit("%")).alias("Discount"),
+    )
+    writer = campaigns.write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    writer.csv(f"{root}/{INGESTS['stg_campaign'].folder}")
+
+
+def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The objects of a partition as one JSON array."""
+    mark = "["
+    for batch in batches:
+        texts = []
+        for value in batch.column(0).to_pylist():
+            texts.append(mark + value)
+            mark = ","
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if mark == "[" else "]"])], ["value"])
+
+
+def write_array_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Documents as JSON arrays of user jobs, pretty-printed or on one line each, with braces,
+    brackets, quotes and backslashes inside strings and nested objects."""
+    docs = tpch.driver_table(spark, sf_dir, "documents")
+    jobs = docs.select(
+        F.col("doc_id"),
+        F.struct(
+            F.concat(F.lit("U"), F.col("doc_id")).alias("user_id"),
+            F.concat(F.lit('{"}\\" '), "lang").alias("name"),
+            F.replace("text", F.lit("."), F.lit('}]{[".')).alias("job_title"),
+            F.when(F.col("n_chars") % 5 != 0, F.col("source")).alias("job_level"),
+            F.struct(F.col("n_chars"), F.array(F.lit("]")).alias("marks")).alias("more"),
+        ).alias("job"),
+    )
+    folder = f"{root}/{INGESTS['stg_user_job'].folder}"
+    for half, (pretty, line_end) in enumerate([("true", "\n"), ("false", " ")]):
+        texts = jobs.filter(F.col("doc_id") % 2 == half).select(
+            F.to_json("job", {"pretty": pretty, "ignoreNullFields": "false"}).alias("value")
+        )
+        part = f"{root}/arrays-{half}"
+        texts.mapInArrow(_as_arrays, "value string").write.option("lineSep", line_end).text(part)
+        for number, file in enumerate(paths.files_in(spark, part)):
+            paths.make_folder(spark, folder)
+            paths.move(spark, file, f"{folder}/array-{half}-{number}.json")
+
+
 def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One HTML page per supplier with a table of its name, nation and region."""
     nations = tpch.driver_table(spark, sf_dir, "nation")

@@ -312,6 +312,18 @@ SQL: dict[str, str] = {
         f"SELECT '{t}' AS table_name, '{kind}' AS kind, count(*) AS row_count FROM {t}"
         for t, (kind, _, _) in _FILES.items()
     ),
+    "ingest_csv_quoted": (
+        "SELECT 'C' || doc_id AS campaign_id, lang || ', \"' || source || '\"' AS campaign_name, "
+        "md5(nullif(replace(text, '.', '.\"'), '')) AS description_md5, "
+        "length(nullif(replace(text, '.', '.\"'), '')) AS description_length, "
+        "n_chars % 90 || '%' AS discount FROM documents"
+    ),
+    "ingest_json_array": (
+        "SELECT 'U' || doc_id AS user_id, '{\"}\\\" ' || lang AS name, "
+        "md5(replace(text, '.', '}]{[\".')) AS title_md5, "
+        "length(replace(text, '.', '}]{[\".')) AS title_length, "
+        "CASE WHEN n_chars % 5 <> 0 THEN source END AS job_level FROM documents"
+    ),
     "html_table_scan": " UNION ALL ".join(
         f"SELECT 'supplier-' || s_suppkey || '.html' AS source, {n} AS row_number, "
         f"'{field}' AS field_name, {value} AS field_value FROM supplier "

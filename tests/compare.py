@@ -22,6 +22,7 @@ TABLES = [
     "part",
     "orders",
     "lineitem",
+    "documents",
 ]
 
 

@@ -286,3 +286,88 @@ def test_a_long_folder_list_takes_the_smaller_half_along(spark, warehouse, monke
     assert warehouse.touched("fact_order_line_item", folders, nothing) == []
     monkeypatch.setattr(store, "MOST_FOLDERS", 1)
     assert len(warehouse.touched("fact_order_line_item", folders, nothing)) == 1
+
+
+def many_users(spark, day, moved=()):
+    users = [
+        (f"U{i}", "2020-01-01 01:02:03", f"name {i}", "1 a st", "s", "cebu" if i in moved else "manila", "PH",
+         "1990-01-01", "F", "aa", "Gold")
+        for i in range(400)
+    ]
+    return shop(spark, day=day, stg_user_data=users, stg_user_job=[], stg_user_credit_card=[])
+
+
+def test_a_reload_rewrites_only_the_buckets_of_changed_members(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"), bucket_bytes=4_000)
+    run_batch(warehouse, many_users(spark, 1), "2024-01-01 09:00:00")
+    # The first reload finds a table larger than its one bucket and cuts it.
+    run_batch(warehouse, many_users(spark, 2), "2024-01-02 09:00:00")
+    second = warehouse.folders()["dim_customer"]
+    assert len(second) >= 8 and all("of" in f.rsplit("=", 1)[1] for f in second)
+    run_batch(warehouse, many_users(spark, 3), "2024-01-03 09:00:00")
+    assert warehouse.folders()["dim_customer"] == second
+    run_batch(warehouse, many_users(spark, 4, moved={7, 8}), "2024-01-04 09:00:00")
+    fourth = warehouse.folders()["dim_customer"]
+    new = set(fourth) - set(second)
+    assert sum(f.endswith("bucket=closed") for f in new) == 1
+    assert 2 <= len(new) <= 3 and len(set(second) - set(fourth)) == len(new) - 1
+    closed = [f for f in fourth if f.endswith("bucket=closed")]
+    run_batch(warehouse, many_users(spark, 5, moved={7, 9}), "2024-01-05 09:00:00")
+    assert set(closed) < set(warehouse.folders()["dim_customer"])
+    star = read_star(warehouse)
+    assert_sound(star)
+    cities = {}
+    for r in star.dim_customer.orderBy("customer_key").collect():
+        cities.setdefault(r.user_id, []).append((r.city, r.is_current))
+    assert cities["U7"] == [("Manila", False), ("Cebu", True)]
+    assert cities["U8"] == [("Manila", False), ("Cebu", False), ("Manila", True)]
+    assert cities["U9"] == [("Manila", False), ("Cebu", True)]
+    assert cities["U1"] == [("Manila", True)] and len(cities) == 401
+
+
+def test_filters_open_only_folders_that_may_hold_an_order(spark, tmp_path, monkeypatch):
+    """300 folders: every order is found where it is, and few folders are opened besides."""
+    from bazaarlake.plans import store
+
+    monkeypatch.setattr(store, "MOST_FOLDERS", 1000)
+    warehouse = Warehouse(spark, str(tmp_path / "w"), filter_from=0)
+    schema = "line_item_key long, order_id string"
+    names = [f"load=0{i:03x}" for i in range(300)]
+    folders = [f"{warehouse.root}/fact_order_line_item/{name}" for name in names]
+    rows = spark.range(300 * 40).select(
+        F.col("id").alias("line_item_key"),
+        F.concat(F.lit("O"), F.col("id").cast("string")).alias("order_id"),
+        F.format_string("0%03x", F.col("id") % 300).alias("load"),
+    )
+    rows.repartition("load").write.partitionBy("load").parquet(f"{warehouse.root}/fact_order_line_item")
+    known = {"fact_order_line_item": warehouse.filters_of("fact_order_line_item", folders)}
+    warehouse.publish({"fact_order_line_item": folders, "filters": known})
+    assert len(known["fact_order_line_item"]) == 300
+    asked = [0, 1, 299, 300, 4567, 11_999]
+    ids = spark.createDataFrame([(f"O{i}",) for i in [*asked, 99_999_999]] + [(None,)], "order_id string")
+    opened = warehouse.may_hold("fact_order_line_item", folders, ids)
+    holders = {names[i % 300] for i in asked}
+    assert holders <= {f.rsplit("/", 1)[1] for f in opened} and len(opened) <= len(holders) + 1
+    touched = warehouse.touched("fact_order_line_item", folders, ids)
+    assert {f.rsplit("/", 1)[1] for f in touched} == holders
+    # No order is missed in any folder.
+    everything = rows.select("order_id").filter("line_item_key % 37 = 5")
+    assert len(warehouse.may_hold("fact_order_line_item", folders, everything)) == 300
+    nothing = spark.createDataFrame([(None,)], "order_id string")
+    assert warehouse.may_hold("fact_order_line_item", folders, nothing) == []
+
+
+def test_filters_follow_the_folders_of_a_load(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"), filter_from=0)
+    run_batch(warehouse, shop(spark), "2024-01-01 09:00:00")
+    other = dict(
+        stg_orders=[("O9", "U1", "1days", "2019-01-01")],
+        stg_line_items_products=[("O9", "shirt", "p1")],
+        stg_line_items_prices=[("O9", "1.00", "1")],
+    )
+    run_batch(warehouse, shop(spark, day=2, **other), "2024-01-02 09:00:00")
+    run_batch(warehouse, shop(spark, day=3), "2024-01-03 09:00:00")
+    folders = warehouse.folders()
+    for fact in ["fact_order", "fact_order_line_item"]:
+        assert len(warehouse.filters()[fact]) == len(folders[fact]) == 2
+    assert sorted(r.order_id for r in read_star(warehouse).fact_order.collect()) == ["O1", "O2", "O3", "O9"]
