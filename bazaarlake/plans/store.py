@@ -29,8 +29,8 @@ FILTER_FROM = 64 << 20
 # Facts are cut by the year of the order; a trailing window then reads one or two folders.
 YEARLY = {"fact_order"}
 
-# Open versions of a dimension are cut into buckets of so many bytes, up to so many buckets.
-BUCKET_BYTES = 64 << 20
+# Open versions of a dimension are cut into buckets of so many rows, up to so many buckets.
+BUCKET_ROWS = 1_000_000
 MOST_BUCKETS = 256
 _BUCKET = re.compile(r"/bucket=(\d+)of(\d+)$")
 
@@ -49,18 +49,18 @@ def _folder_name(folder: str) -> str:
 class Warehouse:
     """Tables under ``root``. Fact folders of at least ``filter_from`` bytes get a filter of their
     orders; smaller ones are read faster than it. Open versions of a dimension lie in buckets of
-    about ``bucket_bytes``."""
+    about ``bucket_rows``."""
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         filter_from: int = FILTER_FROM,
-        bucket_bytes: int = BUCKET_BYTES,
+        bucket_rows: int = BUCKET_ROWS,
     ):
         self.spark = spark
         self.filter_from = filter_from
-        self.bucket_bytes = bucket_bytes
+        self.bucket_rows = bucket_rows
         self.root = root.rstrip("/")
         self.lists = Published(spark, self.root)
 
@@ -130,12 +130,12 @@ class Warehouse:
         live = {int(m[1]): folder for folder in old if (m := _BUCKET.search(folder))}
         closed = [folder for folder in old if not _BUCKET.search(folder)]
         count = next((int(_BUCKET.search(folder)[2]) for folder in old if _BUCKET.search(folder)), 1)
-        size = sum(paths.size_of(self.spark, folder) for folder in live.values())
+        inserted = self.stage(inserted, f"{table}_inserted")
+        size = self.read_folders(table, list(live.values())).count() + inserted.count()
         wanted = 1
-        while wanted < MOST_BUCKETS and wanted * self.bucket_bytes < size:
+        while wanted < MOST_BUCKETS and wanted * self.bucket_rows < size:
             wanted *= 2
-        inserted = self.stage(inserted, f"{table}_inserted")
-        if wanted >= 4 * count:
+        if wanted >= 4 * count or not live:
             count, hit = wanted, set(live)
         else:
             hit = {row[0] for row in inserted.select(_bucket(bk, count)).distinct().collect()}
