@@ -161,7 +161,8 @@ def run_batch(warehouse: Warehouse, staging: Mapping[str, DataFrame], now: str)
         after["fact_order_line_item"] = lines.result()
         after["fact_order"] = orders.result()
     known = {t: warehouse.filters_of(t, after[t]) for t in ["fact_order", "fact_order_line_item"]}
-    return warehouse.publish({**after, "filters": known})
+    sums = warehouse.sums_of(after["fact_order"])
+    return warehouse.publish({**after, "filters": known, "sums": sums})
 
 
 def _load_lines(

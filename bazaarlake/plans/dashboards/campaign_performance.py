@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from bazaarlake.functions.numbers import mean, money
 from bazaarlake.plans.dashboards import scalars
-from bazaarlake.plans.star import Star, by_dimension, high, low, net_measures, top, trailing
+from bazaarlake.plans.star import Star, by_dimension, high, low, orders_by, top, trailing
+from bazaarlake.plans.sums import net_measures
 
 
 def availed_orders(star: Star) -> DataFrame:
@@ -15,9 +16,10 @@ def availed_orders(star: Star) -> DataFrame:
 
 
 def per_campaign(star: Star, fact: DataFrame | None = None) -> DataFrame:
-    rows = star.fact_order if fact is None else fact
+    if fact is None or fact is star.fact_order:
+        return orders_by(star, "campaign_key", star.dim_campaign, ["campaign_name"])
     return by_dimension(
-        rows, "campaign_key", star.dim_campaign, ["campaign_name"], net_measures()
+        fact, "campaign_key", star.dim_campaign, ["campaign_name"], net_measures()
     )
 
 

@@ -9,10 +9,13 @@ from bazaarlake.functions.numbers import mean, money, percent
 from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.dashboards.campaign_performance import availed_orders
 from bazaarlake.plans.dashboards.executive_overview import known_campaigns
-from bazaarlake.plans.star import Star, by_dimension, high, low, net_measures, top
+from bazaarlake.plans.star import Star, by_dimension, high, low, orders_by, top
+from bazaarlake.plans.sums import net_measures
 
 
 def _per_known_campaign(star: Star, fact: DataFrame) -> DataFrame:
+    if fact is star.fact_order:
+        return orders_by(star, "campaign_key", known_campaigns(star), ["campaign_name"])
     return by_dimension(
         fact, "campaign_key", known_campaigns(star), ["campaign_name"], net_measures()
     )

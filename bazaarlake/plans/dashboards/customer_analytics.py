@@ -14,10 +14,9 @@ from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.star import (
     Star,
     before,
-    by_dimension,
     high,
     low,
-    net_measures,
+    orders_by,
     orders_since,
     top,
 )
@@ -48,11 +47,11 @@ def per_customer_label(
     star: Star, labels: Sequence[str], customers: DataFrame | None = None
 ) -> DataFrame:
     dimension = star.dim_customer if customers is None else customers
-    return by_dimension(star.fact_order, "customer_key", dimension, labels, net_measures())
+    return orders_by(star, "customer_key", dimension, labels)
 
 
 def cust_total(star: Star) -> DataFrame:
-    return scalars.distinct_of(star.fact_order, "customer_key", "total_customers")
+    return star.order_sums.customers_since(None, "total_customers")
 
 
 def cust_repeat_rate_30d(star: Star, anchor: str = "calendar") -> DataFrame:

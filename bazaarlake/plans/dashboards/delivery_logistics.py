@@ -11,13 +11,11 @@ from bazaarlake.plans.dashboards.bands import DELAY_DAYS, banded, mean_delay_ban
 from bazaarlake.plans.dashboards.customer_analytics import per_customer_label
 from bazaarlake.plans.star import (
     Star,
-    by_day,
-    by_dimension,
+    days,
     high,
     low,
-    net_measures,
+    orders_by,
     top,
-    trailing,
 )
 
 
@@ -26,9 +24,7 @@ def mean_delay():
 
 
 def per_merchant(star: Star) -> DataFrame:
-    return by_dimension(
-        star.fact_order, "merchant_key", star.dim_merchant, ["name"], net_measures()
-    )
+    return orders_by(star, "merchant_key", star.dim_merchant, ["name"])
 
 
 def per_country(star: Star) -> DataFrame:
@@ -37,23 +33,16 @@ def per_country(star: Star) -> DataFrame:
 
 
 def delay_by_month(star: Star) -> DataFrame:
-    recent = trailing(star, months=12)
-    days = by_day(
-        recent,
-        star.dim_date,
-        [F.sum("delay_in_days").alias("delay"), F.count("*").alias("orders")],
-    )
     return (
-        days.groupBy("year", "month", "month_name")
+        days(star, months=12)
+        .groupBy("year", "month", "month_name")
         .agg(F.sum("delay").alias("delay"), F.sum("orders").alias("orders"))
         .orderBy("year", "month")
     )
 
 
 def delay_per_customer(star: Star) -> DataFrame:
-    return star.fact_order.groupBy("customer_key").agg(
-        F.sum("delay_in_days").alias("delay"), F.count("*").alias("orders")
-    )
+    return star.order_sums.by("customer_key").select("customer_key", "delay", "orders")
 
 
 def dlv_on_time_pct(star: Star) -> DataFrame:

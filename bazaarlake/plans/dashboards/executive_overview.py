@@ -9,16 +9,20 @@ from bazaarlake.functions.numbers import money
 from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.star import (
     Star,
-    by_day,
+    before,
     by_dimension,
+    day_key,
+    days,
     high,
     line_measures,
     low,
-    net_measures,
+    orders_by,
     top,
-    trailing,
 )
 
+# A day key after all days.
+NEVER = 99_999_999
+
 
 def known_campaigns(star: Star) -> DataFrame:
     return star.dim_campaign.filter(~F.col("campaign_name").ilike("unknown%"))
@@ -38,27 +42,23 @@ def exec_aov(star: Star) -> DataFrame:
 
 
 def exec_active_customers_30d(star: Star) -> DataFrame:
-    """Orders of unknown customers count as one customer."""
-    recent = trailing(star, days=30)
-    return scalars.distinct_of(recent, "customer_key", "active_customers")
+    """Orders of unknown customers count as one customer. Counted from the daily bitmaps."""
+    last = star.last_order_date
+    first = NEVER if last is None else day_key(before(last, days=30))
+    return star.order_sums.customers_since(first, "active_customers")
 
 
 def exec_revenue_daily_12m(star: Star) -> DataFrame:
-    recent = trailing(star, months=12)
-    days = by_day(recent, star.dim_date, [F.sum("net_order_amount").alias("net")])
-    return days.select("full_date", money(F.col("net")).alias("revenue")).orderBy("full_date")
+    daily = days(star, months=12)
+    return daily.select("full_date", money(F.col("net")).alias("revenue")).orderBy("full_date")
 
 
 def exec_orders_daily_12m(star: Star) -> DataFrame:
-    recent = trailing(star, months=12)
-    days = by_day(recent, star.dim_date, [F.count("*").alias("orders")])
-    return days.select("full_date", "orders").orderBy("full_date")
+    return days(star, months=12).select("full_date", "orders").orderBy("full_date")
 
 
 def exec_top5_campaigns(star: Star) -> DataFrame:
-    per_campaign = by_dimension(
-        star.fact_order, "campaign_key", known_campaigns(star), ["campaign_name"], net_measures()
-    )
+    per_campaign = orders_by(star, "campaign_key", known_campaigns(star), ["campaign_name"])
     return top(per_campaign, 5, high("net"), low("campaign_name")).select(
         "campaign_name", money(F.col("net")).alias("revenue")
     )
@@ -80,9 +80,7 @@ def exec_top5_products(star: Star) -> DataFrame:
 
 
 def exec_top5_merchants(star: Star) -> DataFrame:
-    per_merchant = by_dimension(
-        star.fact_order, "merchant_key", star.dim_merchant, ["name"], net_measures()
-    )
+    per_merchant = orders_by(star, "merchant_key", star.dim_merchant, ["name"])
     return top(per_merchant, 5, high("net"), low("name")).select(
         F.col("name").alias("merchant"), money(F.col("net")).alias("revenue")
     )

@@ -11,12 +11,12 @@ from bazaarlake.functions.numbers import mean, money
 from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.dashboards.bands import mean_delay_band
 from bazaarlake.plans.dashboards.delivery_logistics import delay_per_customer
-from bazaarlake.plans.star import Star, by_dimension, high, low, net_measures, top
+from bazaarlake.plans.star import Star, high, low, orders_by, top
 
 
 def _per_staff(star: Star, labels: Sequence[str], needed: str | None = None) -> DataFrame:
     staff = star.dim_staff if needed is None else star.dim_staff.filter(f"{needed} is not null")
-    return by_dimension(star.fact_order, "staff_key", staff, labels, net_measures())
+    return orders_by(star, "staff_key", staff, labels)
 
 
 def staff_total(star: Star) -> DataFrame:

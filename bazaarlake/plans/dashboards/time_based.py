@@ -10,7 +10,7 @@ from bazaarlake.functions.numbers import mean, money, percent
 from bazaarlake.functions.text import label
 from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.dashboards.campaign_performance import availed_orders, top_campaign_days
-from bazaarlake.plans.star import Star, by_day, trailing
+from bazaarlake.plans.star import Star, days, trailing
 
 
 def _growth(now: Column, before: Column) -> Column:
@@ -19,9 +19,8 @@ def _growth(now: Column, before: Column) -> Column:
 
 def _net_of_periods(star: Star, period: Column) -> DataFrame:
     """One row: ``net_of`` maps a period to its revenue; years and months stay few."""
-    net = [F.sum("net_order_amount").alias("net")]
     periods = (
-        by_day(star.fact_order, star.dim_date, net)
+        days(star)
         .groupBy(period.alias("period"))
         .agg(F.sum("net").cast("decimal(28,2)").alias("net"), F.max("month").alias("month"))
     )
@@ -66,10 +65,9 @@ def time_orders_30d(star: Star) -> DataFrame:
 
 
 def _monthly(star: Star, months: int) -> DataFrame:
-    net = [F.sum("net_order_amount").alias("net"), F.count("*").alias("orders")]
-    days = by_day(trailing(star, months), star.dim_date, net)
     return (
-        days.groupBy(year_month(F.col("full_date")).alias("year_month"), "month_name", "year")
+        days(star, months)
+        .groupBy(year_month(F.col("full_date")).alias("year_month"), "month_name", "year")
         .agg(F.sum("net").alias("net"), F.sum("orders").alias("orders"))
         .withColumn("period", label(" ", F.col("month_name"), F.col("year")))
         .orderBy("year_month")
@@ -83,9 +81,7 @@ def time_revenue_monthly_24m(star: Star) -> DataFrame:
 
 
 def time_orders_daily_12m(star: Star) -> DataFrame:
-    recent = trailing(star, months=12)
-    days = by_day(recent, star.dim_date, [F.count("*").alias("orders")])
-    return days.select("full_date", "orders").orderBy("full_date")
+    return days(star, months=12).select("full_date", "orders").orderBy("full_date")
 
 
 def time_aov_monthly_12m(star: Star) -> DataFrame:
@@ -95,18 +91,18 @@ def time_aov_monthly_12m(star: Star) -> DataFrame:
 
 
 def time_seasonality(star: Star) -> DataFrame:
-    days = by_day(star.fact_order, star.dim_date, [F.count("*").alias("orders")])
     return (
-        days.groupBy("month_name", F.col("month").alias("month_num"))
+        days(star)
+        .groupBy("month_name", F.col("month").alias("month_num"))
         .agg(F.sum("orders").alias("orders"))
         .orderBy("month_num")
     )
 
 
 def time_campaign_by_period(star: Star) -> DataFrame:
-    days = top_campaign_days(star, availed_orders(star))
+    best = top_campaign_days(star, availed_orders(star))
     return (
-        days.groupBy(year_month(F.col("full_date")).alias("period"), "campaign_name")
+        best.groupBy(year_month(F.col("full_date")).alias("period"), "campaign_name")
         .agg(money(F.sum("net")).alias("revenue"))
         .orderBy("period", "campaign_name")
     )

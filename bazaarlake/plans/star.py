@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from bazaarlake.functions.dates import key_date
 from bazaarlake.plans.batch import run_batch
 from bazaarlake.plans.store import Warehouse
+from bazaarlake.plans.sums import DAY, MEASURES, OrderSums
 from bazaarlake.session import shared_dir
 from bazaarlake.sources import tpch
 
@@ -29,24 +30,25 @@ class Star:
     dim_product: DataFrame
     dim_campaign: DataFrame
     dim_date: DataFrame
+    order_sums: OrderSums
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in TABLES}
 
     @cached_property
     def last_order_date(self) -> date | None:
         """Last date with orders: one number, read once for all trailing windows."""
-        return self.fact_order.agg(key_date(F.max("transaction_date_key"))).first()[0]
+        days = self.order_sums.by(DAY)
+        return days.agg(key_date(F.max(DAY).cast("int"))).first()[0]
+
+
+TABLES = [f.name for f in fields(Star) if f.name != "order_sums"]
 
 
 def read_star(warehouse: Warehouse, version: int | None = None) -> Star:
     folders = warehouse.folders(version)
-    return Star(
-        **{
-            table: warehouse.read_folders(table, folders.get(table, []))
-            for table in Star.__dataclass_fields__
-        }
-    )
+    tables = {table: warehouse.read_folders(table, folders.get(table, [])) for table in TABLES}
+    return Star(**tables, order_sums=warehouse.order_sums(version))
 
 
 _built: dict[tuple[str, str], Warehouse] = {}
@@ -94,18 +96,6 @@ def second_star(spark: SparkSession, sf_dir: str) -> Star:
 # --- shapes -----------------------------------------------------------------------------------
 
 
-def net_measures() -> list[Column]:
-    """What the order queries need per dimension key: one pass gives sums that add up again."""
-    return [
-        F.count("*").alias("orders"),
-        F.sum("net_order_amount").alias("net"),
-        F.sum("discount_amount").alias("discount"),
-        F.sum("delay_in_days").alias("delay"),
-        F.count_if(F.col("availed_flag")).alias("availed"),
-        F.count_if(F.col("delay_in_days") <= 0).alias("on_time"),
-    ]
-
-
 def line_measures() -> list[Column]:
     return [
         F.count("*").alias("line_count"),
@@ -147,7 +137,7 @@ def orders_since(star: Star, first: date | None) -> DataFrame:
     """
     if first is None:
         return star.fact_order.filter("false")
-    recent = F.col("transaction_date_key") >= first.year * 10000 + first.month * 100 + first.day
+    recent = F.col("transaction_date_key") >= day_key(first)
     if "order_year" in star.fact_order.columns:
         recent = recent & (F.col("order_year") >= first.year)
     return star.fact_order.filter(recent)
@@ -159,10 +149,25 @@ def trailing(star: Star, months: int = 0, days: int = 0) -> DataFrame:
     return orders_since(star, None if last is None else before(last, months, days))
 
 
-def by_day(fact: DataFrame, dim_date: DataFrame, measures: Sequence[Column]) -> DataFrame:
-    """Measures per order day with the calendar columns; days off the calendar drop out."""
-    daily = fact.groupBy(F.col("transaction_date_key").alias("date_key")).agg(*measures)
-    return daily.join(dim_date, "date_key")
+def day_key(day: date) -> int:
+    return day.year * 10000 + day.month * 100 + day.day
+
+
+def days(star: Star, months: int | None = None) -> DataFrame:
+    """Order sums per day with the calendar columns, of the trailing months or of all time; days
+    off the calendar drop out. Only the kept sums are read."""
+    daily = star.order_sums.by(DAY).withColumn("date_key", F.col(DAY).cast("int")).drop(DAY)
+    if months is not None:
+        last = star.last_order_date
+        first = None if last is None else before(last, months)
+        daily = daily.filter("false" if first is None else F.col("date_key") >= day_key(first))
+    return daily.join(star.dim_date, "date_key")
+
+
+def orders_by(star: Star, key: str, dimension: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Order sums per label of a dimension, from the kept sums per key."""
+    joined = star.order_sums.by(key).join(dimension.select(key, *labels), key)
+    return joined.groupBy(*labels).agg(*[F.sum(name).alias(name) for name in MEASURES])
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:

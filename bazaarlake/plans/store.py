@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from bazaarlake.plans import filters
+from bazaarlake.plans import filters, sums
 from bazaarlake.sources import paths
 from bazaarlake.sources.published import Published
 from bazaarlake.sources.schemas import STAGING, WAREHOUSE, no_rows
@@ -179,10 +179,9 @@ class Warehouse:
         if not folders:
             return []
         opened = self.may_hold(table, folders, order_ids)
-        name = F.regexp_extract("_metadata.file_path", _FOLDER_NAME, 1)
         hit = (
-            self.read_folders(table, opened, with_file=True)
-            .select("order_id", name.alias("_folder"))
+            self._named(table, opened)
+            .select("order_id", "_folder")
             .join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
             .select("_folder")
             .distinct()
@@ -196,6 +195,34 @@ class Warehouse:
             taken.update(_folder_name(folder) for folder in by_size[: len(folders) // 2])
         return [folder for folder in folders if _folder_name(folder) in taken]
 
+    # --- sums ---
+
+    def sums_of(self, folders: Sequence[str]) -> dict[str, str]:
+        """By name of an order folder: the load its sums are kept with. New folders get theirs here."""
+        known = {n: p for n, p in self.lists.read().get("sums", {}).items() if n in map(_folder_name, folders)}
+        fresh = [folder for folder in folders if _folder_name(folder) not in known]
+        if not fresh:
+            return known
+        load = sums.build(self._named("fact_order", fresh), f"{self.root}/sums")
+        return {**known, **{_folder_name(folder): load for folder in fresh}}
+
+    def order_sums(self, version: int | None = None) -> sums.OrderSums:
+        """Sums of the orders of a version; folders of lists without sums are added up now."""
+        entries = self.lists.read(version)
+        folders = entries.get("fact_order", [])
+        known = entries.get("sums", {})
+        loads = {_folder_name(f): known[_folder_name(f)] for f in folders if _folder_name(f) in known}
+        rest = [f for f in folders if _folder_name(f) not in known]
+        fresh = self._named("fact_order", rest) if rest or not loads else None
+        return sums.OrderSums(self.spark, f"{self.root}/sums", loads, fresh)
+
+    def _named(self, table: str, folders: Sequence[str]) -> DataFrame:
+        """Rows of some folders with the name of each row's folder."""
+        name = F.regexp_extract("_metadata.file_path", _FOLDER_NAME, 1)
+        if not folders:
+            return self.read_folders(table, folders).withColumn("_folder", F.lit(""))
+        return self.read_folders(table, folders, with_file=True).withColumn("_folder", name)
+
     # --- filters ---
 
     def filters(self, version: int | None = None) -> dict[str, dict]:
@@ -220,6 +247,5 @@ class Warehouse:
         ]
         if not fresh:
             return known
-        name = F.regexp_extract("_metadata.file_path", _FOLDER_NAME, 1)
-        ids = self.read_folders(table, fresh, with_file=True).select(name.alias("_folder"), "order_id")
+        ids = self._named(table, fresh).select("_folder", "order_id")
         return {**known, **filters.build(self.spark, ids, f"{self.root}/filters/{table}")}
