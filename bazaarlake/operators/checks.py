@@ -112,8 +112,6 @@ def integrity_report(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def repeated_keys(clean: DataFrame, key: str) -> DataFrame:
-    """Business keys with several cleaned rows and how many there are."""
-    return (
-        clean.groupBy(key).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)
-    )
+def repeated_keys(counts: DataFrame) -> DataFrame:
+    """Of keys with their ``row_count``, those with several rows."""
+    return counts.filter(F.col("row_count") > 1)

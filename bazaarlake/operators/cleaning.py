@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -278,33 +280,66 @@ def _user_keys(user_identity: DataFrame) -> DataFrame:
     return user_identity.select(*USER_LOOKUP, "user_bk")
 
 
+@dataclass(frozen=True)
+class SharedRows:
+    """Cleaned rows of users, kept once per (user id, name) instead of once per key that shares it.
+
+    ``classes`` hold the distinct rows of each (user id, name), ``members`` its keys. A key belongs
+    to one (user id, name), so both together say the same as their join, and stay linear in the
+    input where the join grows with the product of the two sides.
+    """
+
+    classes: DataFrame
+    members: DataFrame
+
+    def expanded(self) -> DataFrame:
+        """One row per key and class."""
+        return self.classes.join(self.members, USER_LOOKUP)
+
+    def rows_per_key(self) -> DataFrame:
+        """``user_bk`` and its ``row_count``, without the rows themselves."""
+        counts = self.classes.groupBy(*USER_LOOKUP).agg(F.count("*").alias("row_count"))
+        return counts.join(self.members, USER_LOOKUP).select("user_bk", "row_count")
+
+
+def _shared(rows: DataFrame, told_apart: list[str], user_identity: DataFrame) -> SharedRows:
+    return SharedRows(newest_per(rows, [*USER_LOOKUP, *told_apart]), _user_keys(user_identity))
+
+
+def shared_user_data(stg_user_data: DataFrame, user_identity: DataFrame) -> SharedRows:
+    told_apart = [
+        "creation_date",
+        "birthdate",
+        "gender",
+        "street",
+        "state",
+        "city",
+        "country",
+        "device_address",
+        "user_type",
+    ]
+    return _shared(user_profiles(stg_user_data), told_apart, user_identity)
+
+
+def shared_user_job(stg_user_job: DataFrame, user_identity: DataFrame) -> SharedRows:
+    return _shared(user_jobs(stg_user_job), ["job_title", "job_level"], user_identity)
+
+
+def shared_user_credit_card(stg_user_credit_card: DataFrame, user_identity: DataFrame) -> SharedRows:
+    told_apart = ["credit_card_number", "issuing_bank"]
+    return _shared(user_cards(stg_user_credit_card), told_apart, user_identity)
+
+
 def clean_user_data(stg_user_data: DataFrame, user_identity: DataFrame) -> DataFrame:
-    keyed = user_profiles(stg_user_data).join(_user_keys(user_identity), USER_LOOKUP)
-    return newest_per(
-        keyed,
-        [
-            "user_bk",
-            "creation_date",
-            "birthdate",
-            "gender",
-            "street",
-            "state",
-            "city",
-            "country",
-            "device_address",
-            "user_type",
-        ],
-    )
+    return shared_user_data(stg_user_data, user_identity).expanded()
 
 
 def clean_user_job(stg_user_job: DataFrame, user_identity: DataFrame) -> DataFrame:
-    keyed = user_jobs(stg_user_job).join(_user_keys(user_identity), USER_LOOKUP)
-    return newest_per(keyed, ["user_bk", "job_title", "job_level"])
+    return shared_user_job(stg_user_job, user_identity).expanded()
 
 
 def clean_user_credit_card(stg_user_credit_card: DataFrame, user_identity: DataFrame) -> DataFrame:
-    keyed = user_cards(stg_user_credit_card).join(_user_keys(user_identity), USER_LOOKUP)
-    return newest_per(keyed, ["user_bk", "credit_card_number", "issuing_bank"])
+    return shared_user_credit_card(stg_user_credit_card, user_identity).expanded()
 
 
 def customer_source(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.operators import calendar, checks, facts, ordinal, scd
+from bazaarlake.operators import calendar, checks, cleaning, facts, ordinal, scd
 from bazaarlake.plans import batch, dashboards, star
 from bazaarlake.session import shared_dir
 from bazaarlake.sources import files, html, tpch, tpch_files
@@ -186,8 +186,11 @@ def integrity_report_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeated_business_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = batch.clean_sources(tpch.staging(spark, sf_dir))
-    return checks.repeated_keys(clean["user_data"], "user_bk")
+    """Business keys with several cleaned profiles and how many, counted without listing them."""
+    staging = tpch.staging(spark, sf_dir)
+    identities = batch.clean_sources(staging)["user_identity"]
+    profiles = cleaning.shared_user_data(staging["stg_user_data"], identities)
+    return checks.repeated_keys(profiles.rows_per_key())
 
 
 def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -424,3 +424,25 @@ def test_bitmaps_count_every_key_once(spark, tmp_path):
     )
     counted = sums.customer_days(orders).groupBy("bucket").agg(F.bitmap_or_agg("customers").alias("c"))
     assert counted.agg(F.sum(F.bitmap_count("c"))).first()[0] == 70_001
+
+
+def test_shared_user_rows_stay_linear_in_the_input(spark):
+    """One (id, name) with 300 keys and 300 profiles: stored once each, expanded only when asked."""
+    people = [
+        ("U1", f"20{i // 12 + 10}-{i % 12 + 1:02d}-01 00:00:00", "Ann Lee" if i % 2 else "ann lee ", f"{i} st", "s",
+         "c", "PH", None, "F", "aa", "Gold")
+        for i in range(300)
+    ] + [("U2", "2020-01-02 00:00:00", "Bo", "x", "s", "c", "PH", None, "M", "aa", "basic")] * 2
+    staged = table(spark, "stg_user_data", people)
+    keys = identity.user_identity(staged)
+    shared = cleaning.shared_user_data(staged, keys)
+    assert shared.classes.count() == 301 and shared.members.count() == 301
+    expanded = shared.expanded()
+    plain = newest_per(
+        cleaning.user_profiles(staged).join(keys.select("user_id", "name", "user_bk"), ["user_id", "name"]),
+        ["user_bk", "creation_date", "birthdate", "gender", "street", "state", "city", "country",
+         "device_address", "user_type"],
+    )
+    assert rows(expanded) == rows(plain.select(expanded.columns)) and expanded.count() == 90_001
+    counts = {r.user_bk: r.row_count for r in shared.rows_per_key().collect()}
+    assert Counter(counts.values()) == {300: 300, 1: 1}
