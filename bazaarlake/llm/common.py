@@ -5,10 +5,12 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import xxhash
 from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,11 +58,14 @@ def no_columns_missing(df: DataFrame, **columns: str) -> DataFrame:
     )
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Rows written to the folder all executors share and read back: lineage ends there."""
+def stage(df: DataFrame, name: str, *cut_by: str) -> DataFrame:
+    """Rows written to the folder all executors share and read back: lineage ends there.
+
+    ``cut_by`` gives each value of these columns a folder of its own, which a filter then finds.
+    """
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(folder)
+    df.write.partitionBy(*cut_by).option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -81,9 +86,19 @@ def forget(*staged: DataFrame) -> None:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for file in df.inputFiles()[:1]:
             folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            while "=" in folder.getName():
+                folder = folder.getParent()
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def share(spark: SparkSession, value: Any) -> Broadcast[bytes]:
+    """A value of this subpackage's own types for all tasks; they get it by ``pickle.loads``.
+
+    Broadcasts name classes by their module, which workers need not have; here classes go along.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
 # --- task side ------------------------------------------------------------------------------
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +14,13 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.llm.common import plain_words, split_words
+from bazaarlake.llm.common import forget, plain_words, share, split_words, stage
 
 WINDOW = 10
-# Test items are searched in blocks of at most this many words (or one item): what is broadcast
-# and held by a task has this bound whatever the benchmark's size.
+# Test items are searched in blocks of about this many words (or one item), a few in one pass:
+# what is broadcast and held by a task has this bound whatever the benchmark's size.
 BLOCK_WORDS = 400_000
+BLOCKS_AT_ONCE = 3
 # Training words whose suffixes are sorted together: one shard of the search.
 SHARD_WORDS = 500_000
 
@@ -101,7 +105,7 @@ def _extend(words: np.ndarray, end: int, place: int, item: np.ndarray, at: int,
 
 def _matcher(shared, window: int):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: TestBlock = shared.value
+        block: TestBlock = pickle.loads(shared.value)
         number = block.vocabulary.get
         for batch in batches:
             texts = batch.column("text")
@@ -147,7 +151,7 @@ def _shard_rows(batch: pa.RecordBatch, shard: list[np.ndarray], block: TestBlock
         found.append(sorted(rows, key=lambda r: (r["word"], str(r["item_id"]), r["item_word"])))
     merged = [_merge(rows) for rows in hits]
     columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
-    before = columns.pop("hits").to_pylist(), columns.pop("matches").to_pylist()
+    before = columns.pop("_hits").to_pylist(), columns.pop("_matches").to_pylist()
     all_hits = [_merge([(h["first"], h["last"]) for h in old or []] + new) for old, new in zip(before[0], merged)]
     all_matches = [(old or []) + new for old, new in zip(before[1], found)]
     arrays = [
@@ -156,7 +160,7 @@ def _shard_rows(batch: pa.RecordBatch, shard: list[np.ndarray], block: TestBlock
         pa.array([[{"first": a, "last": b} for a, b in h] for h in all_hits], _arrow_hits()),
         pa.array(all_matches, _arrow_matches()),
     ]
-    return pa.RecordBatch.from_arrays(arrays, [*columns, "text", "hits", "matches"])
+    return pa.RecordBatch.from_arrays(arrays, [*columns, "text", "_hits", "_matches"])
 
 
 def _arrow_hits() -> pa.DataType:
@@ -184,57 +188,118 @@ def _n_words(text: Column) -> Column:
     return F.size(split_words(text, r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F")).cast("long")
 
 
-def _blocks(benchmark: DataFrame, window: int) -> Iterator[TestBlock]:
-    """Test items in blocks of bounded size, one after the other."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
-        "text is not null"
+def _blocks(benchmark: DataFrame, window: int, words: int) -> Iterator[TestBlock]:
+    """Test items in blocks of about ``words`` words (or one item), one after the other.
+
+    Spark deals the items to as many blocks as their words fill, by a hash, and writes them to the
+    shared folder; one block at a time is then read by the driver and indexed.
+    """
+    spark = benchmark.sparkSession
+    item_id = F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id")
+    items = benchmark.select(item_id, F.col("text").cast("string").alias("text")).filter("text is not null")
+    total = items.agg(F.sum(_n_words(F.col("text")))).first()[0] or 0
+    count = max(1, -(-total // words))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).cast("int").alias("block")
+    dealt = stage(items.select("*", block), "items", "block")
+    for number in range(count):
+        found = dealt.filter(F.col("block") == number).select("item_id", "text").collect()
+        if found:
+            yield TestBlock.of(sorted(found), window)
+    forget(dealt)
+
+
+def _searched(rows: DataFrame, blocks: Iterator[TestBlock], window: int) -> DataFrame:
+    """Rows with the ``_hits`` and ``_matches`` of some blocks, in one pass over the texts."""
+    for block in blocks:
+        shared = share(rows.sparkSession, block)
+        rows = rows.mapInArrow(_matcher(shared, window), T.StructType(rows.schema.fields))
+    return rows
+
+
+def _empty(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_hits", F.lit(None).cast(_HITS)).withColumn("_matches", F.lit(None).cast(_MATCHES))
+
+
+def _merged(hits: Column) -> Column:
+    """Overlapping and touching spans of a list joined."""
+
+    def join(found: Column, hit: Column) -> Column:
+        last = F.element_at(found, -1)
+        wider = F.struct(last["first"].alias("first"), F.greatest(last["last"], hit["last"]).alias("last"))
+        return (
+            F.when(F.size(found) == 0, F.array(hit))
+            .when(hit["first"] <= last["last"], F.concat(F.slice(found, 1, F.size(found) - 1), F.array(wider)))
+            .otherwise(F.concat(found, F.array(hit)))
+        )
+
+    return F.aggregate(F.array_sort(hits), F.array().cast(_HITS), join)
+
+
+def _in_passes(rows: DataFrame, blocks: Iterator[TestBlock], window: int) -> DataFrame:
+    """Searches a few blocks at a time: what a pass finds is written, and put together per text.
+
+    A pass holds ``BLOCKS_AT_ONCE`` blocks, however many there are.
+    """
+    texts = _empty(rows.select(F.md5("text").alias("_text"), "text"))
+    parts = []
+    while some := list(islice(blocks, BLOCKS_AT_ONCE)):
+        found = _searched(texts, iter(some), window).filter(F.size("_hits") > 0)
+        parts.append(stage(found.select("_text", "_hits", "_matches").dropDuplicates(["_text"]), "found"))
+    together = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("_text")
+        .agg(
+            _merged(F.flatten(F.collect_list("_hits"))).alias("_hits"),
+            F.flatten(F.collect_list("_matches")).alias("_matches"),
+        )
+        .withColumn("_matches", F.array_sort("_matches", _by_place))
     )
-    block, size = [], 0
-    for item in items.toLocalIterator():
-        words = len(plain_words(item["text"]))
-        if block and size + words > BLOCK_WORDS:
-            yield TestBlock.of(block, window)
-            block, size = [], 0
-        block.append(item)
-        size += words
-    if block:
-        yield TestBlock.of(block, window)
-
-
-def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    return rows.withColumn("_text", F.md5("text")).join(together, "_text", "left").drop("_text")
+
+
+def _by_place(a: Column, b: Column) -> Column:
+    def key(m: Column) -> Column:
+        return F.struct(m["word"], m["item_id"], m["item_word"])
+
+    return F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0)
+
+
+def find_matches(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
+) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``n_hit``, ``items``, ``matches``, ``contaminated``.
 
-    Test items are a stated query set: each block of them (``BLOCK_WORDS``) is broadcast and
-    searched for in all training texts in one pass without a shuffle. A task sorts its texts into
-    suffix arrays, shard by shard, and finds each window of ten item words (a shorter item is one
-    window) by bisection; matches are then lengthened to the longest verbatim ones and listed with
-    their places. ``n_hit`` counts words inside any window found, ``items`` are the ids of items
-    found, as sorted text.
+    Test items are a stated query set, searched for in all training texts block by block
+    (``block_words`` words each). A task sorts its texts into suffix arrays, shard by shard, and
+    finds each window of ten item words (a shorter item is one window) by bisection; matches are
+    then lengthened to the longest verbatim ones and listed with their places. ``n_hit`` counts
+    words inside any window found, ``items`` are the ids of items found, as sorted text.
+
+    Up to ``BLOCKS_AT_ONCE`` blocks are searched in one pass over the texts, without a shuffle.
+    A larger benchmark takes a pass for every few blocks; each writes what it finds, and the parts
+    are put together by text, so memory and workers of a task do not grow with the benchmark.
 
     Null and empty texts have no words; items without words are never found; an item with a null
     id counts under its text "null". Repeated items and rows are searched one by one. Without any
     item nothing is hit. Other columns stay, those named like added ones are replaced.
     """
     added = ["n_words", "n_hit", "items", "matches", "contaminated"]
-    kept = docs.drop(*added, "hits")
-    others = [c for c in kept.columns if c != "text"]
-    rows = kept.select(
-        *others,
-        F.col("text").cast("string").alias("text"),
-        F.lit(None).cast(_HITS).alias("hits"),
-        F.lit(None).cast(_MATCHES).alias("matches"),
-    )
-    context = docs.sparkSession.sparkContext
-    for block in _blocks(benchmark.withColumn("item_id", F.coalesce(F.col("item_id").cast("string"), F.lit("null"))), window):
-        rows = rows.mapInArrow(_matcher(context.broadcast(block), window), T.StructType(rows.schema.fields))
-    hit_words = F.aggregate("hits", F.lit(0), lambda n, h: n + h["last"] - h["first"])
+    kept = docs.drop(*added)
+    rows = kept.withColumn("text", F.col("text").cast("string"))
+    blocks = _blocks(benchmark, window, block_words)
+    first = list(islice(blocks, BLOCKS_AT_ONCE + 1))
+    if len(first) <= BLOCKS_AT_ONCE:
+        others = [c for c in rows.columns if c != "text"]
+        rows = _searched(_empty(rows.select(*others, "text")), iter(first), window)
+    else:
+        rows = _in_passes(rows, chain(first, blocks), window)
+    hit_words = F.aggregate("_hits", F.lit(0), lambda n, h: n + h["last"] - h["first"])
     return (
         rows.withColumn("n_words", _n_words(F.col("text")))
         .withColumn("n_hit", F.coalesce(hit_words, F.lit(0)).cast("long"))
-        .withColumn("matches", F.coalesce("matches", F.array().cast(_MATCHES)))
+        .withColumn("matches", F.coalesce("_matches", F.array().cast(_MATCHES)))
         .withColumn("items", F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"]))))
         .withColumn("contaminated", F.col("n_hit") > 0)
-        .drop("hits")
         .select(*kept.columns, *added)
     )
 

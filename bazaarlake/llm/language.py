@@ -376,7 +376,9 @@ def _identifier(shared):
 def _identified(batch: pa.RecordBatch, texts: list[str], alphabet: Alphabet, model: Model) -> pa.RecordBatch:
     found, letters = [], np.zeros(len(texts), bool)
     for codes, begins, owner, offset in pieces(texts):
-        letters[owner] |= np.add.reduceat(alphabet.letter[codes], begins, dtype=np.int64) > 0 if len(codes) else False
+        # One more place, as an empty text at the end begins behind the last character.
+        in_text = np.add.reduceat(np.append(alphabet.letter[codes], False), begins, dtype=np.int64)
+        np.logical_or.at(letters, owner, in_text > 0)
         if not model.languages:
             continue
         words = find_words(codes, alphabet)

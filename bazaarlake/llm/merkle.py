@@ -174,7 +174,9 @@ PATHS = f"grp string, at long, path {PATH}"
 
 
 def _without_ancestors(nodes: DataFrame) -> DataFrame:
-    return nodes.select("grp", "at", F.array().cast(PATH).alias("path"))
+    # Columns of their own, for a join with the nodes themselves.
+    own = [F.col(c).alias(c) for c in ("grp", "at")]
+    return nodes.select(*own, F.array().cast(PATH).alias("path"))
 
 
 def _steps(path: list[tuple[Parent, int]]) -> list[dict]:

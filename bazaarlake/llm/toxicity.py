@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import no_columns_missing, plain_words
+from bazaarlake.llm.common import no_columns_missing, plain_words, share
 
 # The model is fitted on at most this many labelled rows, those with the smallest key hashes.
 SAMPLE_ROWS = 6_000
@@ -154,7 +155,7 @@ _OFFENDING = pa.list_(
 
 def _scorer(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model: Model = pickle.loads(shared.value)
         weight = WordWeights(model).__getitem__
         for batch in batches:
             scores, counts, starts, worst, offending = [], [], [], [], []
@@ -200,7 +201,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     kept = docs.drop("score", "n_sentences", "worst_start", "worst_score", "offending", "predicted")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     scored = kept.mapInArrow(
         _scorer(shared),
         f"{schema}, score double, n_sentences long, worst_start long, worst_score double, "
