@@ -66,12 +66,13 @@ def as_of_version(
     key: str,
     effective: str,
     most: int | None = None,
+    few: int | None = None,
 ) -> DataFrame:
     """Left join to the versions valid at the date ``at``, adding ``key`` and ``effective``.
 
     Several matches stay; the caller chooses among them. ``most`` is the highest number of
     versions a member can have, where the caller knows it: a load adds one at most. Up to
-    ``FEW_VERSIONS`` of them are met by an equality join with the interval as residual. Members
+    ``few`` of them (``FEW_VERSIONS`` when not given) are met by an equality join with the interval as residual. Members
     with more are looked up along time instead (``operators.asof``), once per member and moment.
     """
     versions = dimension.select(
@@ -83,10 +84,11 @@ def as_of_version(
     rows = rows.withColumn("_lookup", spread_missing(on, "order_id")).withColumn(
         "_moment", F.col(at).cast("timestamp")
     )
-    if most is not None and most <= FEW_VERSIONS:
+    few = FEW_VERSIONS if few is None else few
+    if most is not None and most <= few:
         found = asof.by_interval(rows, versions, effective)
     else:
-        found = asof.along_time(rows, versions, effective, FEW_VERSIONS)
+        found = asof.along_time(rows, versions, effective, few)
     return found.drop("_lookup", "_moment", "_on", "_end")
 
 

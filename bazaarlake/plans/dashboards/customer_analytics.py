@@ -12,12 +12,13 @@ from bazaarlake.functions.numbers import mean, money, percent
 from bazaarlake.functions.text import label
 from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.star import (
+    NEVER,
     Star,
     before,
+    day_key,
     high,
     low,
     orders_by,
-    orders_since,
     top,
 )
 
@@ -55,7 +56,8 @@ def cust_total(star: Star) -> DataFrame:
 
 
 def cust_repeat_rate_30d(star: Star, anchor: str = "calendar") -> DataFrame:
-    """Share of customers with more than one order in the 30 days before the anchor.
+    """Share of customers with more than one order in the 30 days before the anchor, counted from
+    the daily bitmaps.
 
     ``calendar`` is the last calendar day, which lies a year past the last order, so the answer
     is 0 in practice; ``last_order`` counts back from the last order.
@@ -64,10 +66,10 @@ def cust_repeat_rate_30d(star: Star, anchor: str = "calendar") -> DataFrame:
         last = star.dim_date.agg(F.max("full_date")).first()[0]
     else:
         last = star.last_order_date
-    recent = orders_since(star, None if last is None else before(last, days=30))
-    per_customer = recent.groupBy("customer_key").agg(F.count("*").alias("orders"))
-    rate = percent(F.count_if(F.col("orders") > 1), F.count("*"))
-    return per_customer.agg(F.coalesce(rate, F.lit(0.0)).alias("repeat_purchase_rate"))
+    first = NEVER if last is None else day_key(before(last, days=30))
+    counts = star.order_sums.repeated_since(first)
+    rate = percent(F.col("repeated"), F.col("customers"))
+    return counts.select(F.coalesce(rate, F.lit(0.0)).alias("repeat_purchase_rate"))
 
 
 def cust_clv(star: Star) -> DataFrame:

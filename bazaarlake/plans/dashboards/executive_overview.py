@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bazaarlake.functions.numbers import money
 from bazaarlake.plans.dashboards import scalars
 from bazaarlake.plans.star import (
+    NEVER,
     Star,
     before,
     by_dimension,
@@ -20,9 +21,6 @@ from bazaarlake.plans.star import (
     top,
 )
 
-# A day key after all days.
-NEVER = 99_999_999
-
 
 def known_campaigns(star: Star) -> DataFrame:
     return star.dim_campaign.filter(~F.col("campaign_name").ilike("unknown%"))

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,6 +158,33 @@ def fact_as_of_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _versioned_orders(spark, sf_dir).select(_KEYS)
 
 
+def as_of_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per state of a customer when they were shipped; every order day begins a new state.
+
+    Customers have dozens of states, so those with more than eight are looked up along time.
+    """
+    orders = tpch.driver_table(spark, sf_dir, "orders")
+    customer = F.col("o_custkey").cast("string").alias("customer")
+    begun = F.col("o_orderdate").cast("timestamp")
+    states = orders.groupBy(customer, begun.alias("effective_date")).agg(F.max("o_orderkey").alias("state"))
+    ends = F.lead("effective_date").over(Window.partitionBy("customer").orderBy("effective_date"))
+    lines = tpch.driver_table(spark, sf_dir, "lineitem").join(
+        orders.select(F.col("o_orderkey").alias("l_orderkey"), customer), "l_orderkey"
+    )
+    shipped = lines.select(
+        F.col("l_orderkey").cast("string").alias("order_id"), "customer", F.col("l_shipdate").alias("shipped")
+    )
+    found = facts.as_of_version(
+        shipped, states.withColumn("end_date", ends), "customer", "shipped", "state", "_from", few=8
+    )
+    return found.groupBy("customer", "state").agg(F.count("*").alias("line_count"))
+
+
+def customers_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers of every month after the second delivery, from the daily bitmaps."""
+    return star.second_star(spark, sf_dir).order_sums.customers_by_month()
+
+
 def fact_one_row_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.one_row_per_order(_versioned_orders(spark, sf_dir)).select(_KEYS)
 
@@ -327,6 +354,8 @@ def queries() -> dict[str, Query]:
         dim_date_span,
         fact_campaign_per_order,
         fact_as_of_versions,
+        as_of_customer_history,
+        customers_by_month,
         fact_one_row_per_order,
         fact_order_incoming,
         fact_lines_matched,

@@ -149,6 +149,10 @@ def trailing(star: Star, months: int = 0, days: int = 0) -> DataFrame:
     return orders_since(star, None if last is None else before(last, months, days))
 
 
+# A day key after all days.
+NEVER = 99_999_999
+
+
 def day_key(day: date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DAY = "transaction_date_key"
@@ -42,11 +42,24 @@ def order_sums(orders: DataFrame) -> DataFrame:
 
 
 def customer_days(orders: DataFrame) -> DataFrame:
-    """Bitmaps of the customers with orders, per folder, day and bucket of keys."""
+    """Bitmaps of the customers with orders, and of those with several, per folder, day and bucket."""
     key = F.col("customer_key").cast("long")
-    return orders.groupBy(
-        "_folder", F.col(DAY).alias("day"), F.bitmap_bucket_number(key).alias("bucket")
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("customers"))
+    counted = orders.groupBy("_folder", F.col(DAY).alias("day"), key.alias("key")).agg(F.count("*").alias("n"))
+    bit = F.bitmap_bit_position("key")
+    return counted.groupBy("_folder", "day", F.bitmap_bucket_number("key").alias("bucket")).agg(
+        F.bitmap_construct_agg(bit).alias("customers"),
+        F.bitmap_construct_agg(F.when(F.col("n") > 1, bit)).alias("again"),
+    )
+
+
+def distinct_customers(days: DataFrame, *period: Column) -> DataFrame:
+    """Distinct customers per period, from the or of its daily bitmaps: no key is shuffled."""
+    names = [f"_p{i}" for i in range(len(period))]
+    cut = days.select(*[p.alias(n) for p, n in zip(period, names)], "bucket", "customers")
+    per_bucket = cut.groupBy(*names, "bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
+    return per_bucket.groupBy(*names).agg(
+        F.coalesce(F.sum(F.bitmap_count("customers")), F.lit(0)).cast("long").alias("customers")
+    )
 
 
 def build(orders: DataFrame, target: str) -> str:
@@ -61,7 +74,7 @@ _SUMS = (
     "_folder string, key long, orders long, net decimal(28,2), discount decimal(28,2), "
     "delay long, availed long, on_time long, kind string"
 )
-_DAYS = "_folder string, day int, bucket long, customers binary"
+_DAYS = "_folder string, day int, bucket long, customers binary, again binary"
 
 
 def _kept(
@@ -94,7 +107,36 @@ class OrderSums:
     def customers_since(self, first: int | None, name: str) -> DataFrame:
         """Distinct customers with orders from a day key on (all when None), as one number."""
         days = self.days if first is None else self.days.filter(F.col("day") >= first)
-        per_bucket = days.groupBy("bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
-        return per_bucket.agg(
-            F.coalesce(F.sum(F.bitmap_count("customers")), F.lit(0)).cast("long").alias(name)
+        return distinct_customers(days).select(F.col("customers").alias(name))
+
+    def repeated_since(self, first: int) -> DataFrame:
+        """``customers`` with orders from a day key on, and ``repeated``: those with several.
+
+        A customer has several orders with two on one day (of one folder), or with one on a day
+        that a bit of an earlier day already stands for. Bitmaps of a bucket are or-ed along the
+        days; a bucket has one row per day and folder.
+        """
+        days = self.days.filter(F.col("day") >= first)
+        along = Window.partitionBy("bucket").orderBy("day", "_folder")
+        earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+        seen = days.withColumn("_seen", F.bitmap_or_agg("customers").over(earlier)).withColumn(
+            "_first", F.row_number().over(along) == 1
+        )
+        both = (
+            seen.filter(~F.col("_first"))
+            .select("bucket", "day", "_folder", F.explode(F.array("_seen", "customers")).alias("bits"))
+            .groupBy("bucket", "day", "_folder")
+            .agg(F.bitmap_and_agg("bits").alias("again"))
         )
+        several = days.select("bucket", "again").unionByName(both.select("bucket", "again"))
+        several = several.groupBy("bucket").agg(F.bitmap_count(F.bitmap_or_agg("again")).alias("repeated"))
+        once = days.groupBy("bucket").agg(F.bitmap_count(F.bitmap_or_agg("customers")).alias("customers"))
+        return once.join(several, "bucket").agg(
+            F.coalesce(F.sum("repeated"), F.lit(0)).cast("long").alias("repeated"),
+            F.coalesce(F.sum("customers"), F.lit(0)).cast("long").alias("customers"),
+        )
+
+    def customers_by_month(self) -> DataFrame:
+        """``year_month`` (yyyymm) and its distinct ``customers``."""
+        month = F.floor(F.col("day") / 100).cast("int")
+        return distinct_customers(self.days, month).withColumnRenamed("_p0", "year_month")

@@ -312,6 +312,16 @@ SQL: dict[str, str] = {
         f"SELECT '{t}' AS table_name, '{kind}' AS kind, count(*) AS row_count FROM {t}"
         for t, (kind, _, _) in _FILES.items()
     ),
+    "as_of_customer_history": (
+        "WITH states AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS state FROM orders GROUP BY 1, 2) "
+        "SELECT CAST(o.o_custkey AS VARCHAR) AS customer, s.state, count(*) AS line_count "
+        "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
+        "ASOF LEFT JOIN states s ON s.o_custkey = o.o_custkey AND s.o_orderdate <= l.l_shipdate GROUP BY 1, 2"
+    ),
+    "customers_by_month": (
+        "SELECT transaction_date_key // 100 AS year_month, count(DISTINCT customer_key) AS customers "
+        "FROM fact_order_b2 GROUP BY 1"
+    ),
     "ingest_csv_quoted": (
         "SELECT 'C' || doc_id AS campaign_id, lang || ', \"' || source || '\"' AS campaign_name, "
         "md5(nullif(replace(text, '.', '.\"'), '')) AS description_md5, "

@@ -426,6 +426,24 @@ def test_bitmaps_count_every_key_once(spark, tmp_path):
     assert counted.agg(F.sum(F.bitmap_count("c"))).first()[0] == 70_001
 
 
+@pytest.mark.parametrize("first", [20230101, 20230110, 20230118, 20230130])
+def test_bitmaps_tell_who_came_again(spark, first):
+    """Two orders of a day, orders of two days, orders of one day in two folders."""
+    from bazaarlake.plans import sums
+
+    orders = spark.range(40_000).select(
+        F.concat(F.lit("f"), F.col("id") % 3).alias("_folder"),
+        (F.xxhash64("id") % 30_011).alias("customer_key"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(20)) + 20230101).cast("int").alias("transaction_date_key"),
+    )
+    kept = sums.OrderSums.__new__(sums.OrderSums)
+    kept.days = sums.customer_days(orders)
+    found = kept.repeated_since(first).first()
+    per = orders.filter(F.col("transaction_date_key") >= first).groupBy("customer_key").count()
+    want = per.agg(F.count_if(F.col("count") > 1), F.count("*")).first()
+    assert (found.repeated, found.customers) == tuple(want)
+
+
 def test_shared_user_rows_stay_linear_in_the_input(spark):
     """One (id, name) with 300 keys and 300 profiles: stored once each, expanded only when asked."""
     people = [
