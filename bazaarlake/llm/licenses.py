@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,13 +37,79 @@ NOTICES = {
     "licensed under a creative commons attribution 4 0 international license": "cc-by-4",
     "licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa-4",
 }
+# The bodies of licenses short enough to stand in a file as a whole.
+BODIES = {
+    """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
+    and associated documentation files (the "Software"), to deal in the Software without
+    restriction, including without limitation the rights to use, copy, modify, merge, publish,
+    distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+    Software is furnished to do so, subject to the following conditions: The above copyright notice
+    and this permission notice shall be included in all copies or substantial portions of the
+    Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+    INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
+    AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
+    DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+    OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""": "mit",
+    """Permission to use, copy, modify, and/or distribute this software for any purpose with or
+    without fee is hereby granted, provided that the above copyright notice and this permission
+    notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL
+    WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+    FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+    CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+    WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+    CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""": "isc",
+    """Redistribution and use in source and binary forms, with or without modification, are permitted
+    provided that the following conditions are met: 1. Redistributions of source code must retain
+    the above copyright notice, this list of conditions and the following disclaimer. 2.
+    Redistributions in binary form must reproduce the above copyright notice, this list of
+    conditions and the following disclaimer in the documentation and/or other materials provided
+    with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS
+    IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES
+    OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""": "bsd-2",
+    """Redistribution and use in source and binary forms, with or without modification, are permitted
+    provided that the following conditions are met: 1. Redistributions of source code must retain
+    the above copyright notice, this list of conditions and the following disclaimer. 2.
+    Redistributions in binary form must reproduce the above copyright notice, this list of
+    conditions and the following disclaimer in the documentation and/or other materials provided
+    with the distribution. 3. Neither the name of the copyright holder nor the names of its
+    contributors may be used to endorse or promote products derived from this software without
+    specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+    CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+    IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""": "bsd-3",
+    """This software is provided 'as-is', without any express or implied warranty. In no event will
+    the authors be held liable for any damages arising from the use of this software. Permission is
+    granted to anyone to use this software for any purpose, including commercial applications, and
+    to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of
+    this software must not be misrepresented; you must not claim that you wrote the original
+    software. If you use this software in a product, an acknowledgment in the product documentation
+    would be appreciated but is not required. 2. Altered source versions must be plainly marked as
+    such, and must not be misrepresented as being the original software. 3. This notice may not be
+    removed or altered from any source distribution.""": "zlib",
+    """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+    except in compliance with the License. You may obtain a copy of the License at
+    http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in
+    writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
+    WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+    specific language governing permissions and limitations under the License.""": "apache-2",
+    """This is free and unencumbered software released into the public domain. Anyone is free to
+    copy, modify, publish, use, compile, sell, or distribute this software, either in source code
+    form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+    In jurisdictions that recognize copyright laws, the author or authors of this software dedicate
+    any and all copyright interest in the software to the public domain. We make this dedication for
+    the benefit of the public at large and to the detriment of our heirs and successors.""": "unlicense",
+}
+
+
+def plain(text: str) -> str:
+    """The words of a template as texts are read, one space between."""
+    return " ".join(re.findall("[a-z0-9]+", text.lower()))
 
 
 def template_grams(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
     """One row per word k-gram of a template: its text, place and the template's length."""
     rows = []
     listed = [(p, label, True) for p, label in phrases.items()]
-    listed += [(p, label, False) for p, label in notices.items()]
+    listed += [(plain(p), label, False) for p, label in notices.items()]
     for number, (phrase, label, base) in enumerate(listed):
         words = phrase.split()
         grams = len(words) - GRAM + 1
@@ -73,12 +141,12 @@ def scan(
     key: str = "doc_id",
     text: str = "text",
     phrases: dict[str, str] = BASE_PHRASES,
-    notices: dict[str, str] = NOTICES,
+    notices: dict[str, str] = {**NOTICES, **BODIES},
 ) -> DataFrame:
     """Per row: word count, places of base phrases, labels and the best share of a template.
 
     All rolling k-grams of the texts are hashed and joined with the template positions (a fixed
-    table of a few hundred rows, which is broadcast; the texts of the grams are compared too).
+    table of about a thousand rows, which is broadcast; the texts of the grams are compared too).
     A hit votes for its diagonal, text place minus template place. Diagonals close to each other
     are merged; a merged group is a span, verified by the share of the template's k-grams found
     in it. A base phrase stands at a place when its diagonal has all votes. Only hits leave a

@@ -70,6 +70,13 @@ def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def page_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of op6 over pages, whose addresses give hosts and paths."""
+    return site_quality.page_quality(
+        table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_matches(docs, table(spark, sf_dir, "benchmark"))
@@ -130,6 +137,7 @@ def queries() -> dict[str, Query]:
         op4_licenses,
         op5_mixing,
         op6_site_quality,
+        page_quality,
         op7_decontamination,
         op8_line_dedup,
         op9_quality_rules,

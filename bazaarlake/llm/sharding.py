@@ -65,8 +65,8 @@ def assign_shards(
     """Every row with its ``shard``, ``grown_shard`` (with one more shard), ``slot`` and ``size``.
 
     The shard depends on the key and the shard count alone. Slots are gapless from 0 within a
-    shard: rows are numbered inside buckets of the key's hash and shifted by the sizes of the
-    buckets before, so no task holds a shard and only bucket sizes (``BUCKETS`` per shard at
+    shard: rows are numbered inside buckets of a hash of key and text and shifted by the sizes of
+    the buckets before, so no task holds a shard and only bucket sizes (``BUCKETS`` per shard at
     most) are summed together.
 
     A null key counts as 0; a null text has size 1 (no bytes, plus 1) and no checksum. Rows that
@@ -80,7 +80,8 @@ def assign_shards(
         .withColumn("text_crc32", F.crc32(F.col(text).cast("binary")))
         .withColumn("shard", jump_hash(F.col(key), shards))
         .withColumn("grown_shard", jump_hash(F.col(key), shards + 1))
-        .withColumn("_bucket", F.pmod(F.xxhash64(F.lit(1), key), F.lit(BUCKETS)).cast("int"))
+        # The text's own checksum spreads rows that share a key, or have none.
+        .withColumn("_bucket", F.pmod(F.xxhash64(F.lit(1), key, "text_crc32", "size"), F.lit(BUCKETS)).cast("int"))
     )
     sizes = placed.groupBy("shard", "_bucket").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy("shard").orderBy("_bucket")

@@ -19,6 +19,8 @@ ROUNDS, DECAY = 30, 1.0
 THRESHOLD = 0.5
 # Bounds of the prior strengths, in documents.
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0
+# The entities a page cannot do without.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 _CAPITALS = bytes(range(0x41, 0x5B))
 _SYMBOLS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) not in ".,!?'-")
 
@@ -108,31 +110,24 @@ def _strength(groups: DataFrame) -> float:
     return float(np.clip(mean * (1 - mean) / between - 1, LEAST_STRENGTH, MOST_STRENGTH))
 
 
-def site_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """Per row: ``doc_id``, ``evidence``, ``host_posterior``, ``path_posterior``, ``score``, ``kept``.
+def measured(rows: DataFrame, key: str, host: Column, path: Column, text: Column) -> DataFrame:
+    """Key, host, path and text statistics of every row, written once; null sites are sites too."""
 
-    A logistic classifier of six text statistics, fitted on a bounded sample of labelled rows
-    outside the held-out part, gives every row its log-odds. Their probabilities are summed per
-    host and per path in grouped aggregates. A host's share is shrunk towards the global share
-    and a path's towards its host's, by strengths estimated from the spread of the groups, so a
-    site of a few rows says little. A row's own probability is left out of its site's. The score
-    joins the text evidence (log-odds over the base rate) with the log-odds of the path.
+    def site(name: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("s"), name.cast("string")), F.lit("n"))
 
-    Null hosts and paths are groups of their own. Null and empty texts have zero statistics.
-    Repeated rows are judged alike. Without usable labels all evidence is 0 and all rows are kept.
-    """
-    measured = stage(
-        docs.select(
-            "doc_id",
-            F.coalesce(F.concat(F.lit("s"), F.col(host).cast("string")), F.lit("n")).alias("host"),
-            F.coalesce(F.concat(F.lit("s"), F.col(path).cast("string")), F.lit("n")).alias("path"),
-            "text",
-        ).mapInArrow(
+    kind = rows.schema[key].dataType.simpleString()
+    return stage(
+        rows.select(key, site(host).alias("host"), site(path).alias("path"), text.alias("text")).mapInArrow(
             _features,
-            "doc_id long, host string, path string, " + ", ".join(f"{f} double" for f in FEATURES),
+            f"{key} {kind}, host string, path string, " + ", ".join(f"{f} double" for f in FEATURES),
         ),
         "measured",
     )
+
+
+def learn(rows: DataFrame, labels: DataFrame) -> Evidence:
+    """Fits the classifier on a bounded sample of labelled rows outside the held-out part."""
     known = (
         no_columns_missing(labels, doc_id="long", quality="int")
         .filter("doc_id is not null and quality is not null")
@@ -144,10 +139,14 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(SAMPLE_ROWS)
     )
-    sample = measured.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
-    model = fit(sample[FEATURES].to_numpy(float), sample["good"].to_numpy(float))
-    judged = measured.select(
-        "doc_id", "host", "path", F.least(F.greatest(model.log_odds(), F.lit(-30.0)), F.lit(30.0)).alias("evidence")
+    sample = rows.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    return fit(sample[FEATURES].to_numpy(float), sample["good"].to_numpy(float))
+
+
+def posteriors(rows: DataFrame, model: Evidence, key: str) -> DataFrame:
+    """Evidence of every row, shrunk shares of its host and path, and the score of all three."""
+    judged = rows.select(
+        key, "host", "path", F.least(F.greatest(model.log_odds(), F.lit(-30.0)), F.lit(30.0)).alias("evidence")
     ).withColumn("p", 1 / (1 + F.exp(-F.col("evidence"))))
     paths = stage(judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("p")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
@@ -167,12 +166,54 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path:
         own.withColumn("host_posterior", bounded(host_share))
         .withColumn("path_posterior", bounded(path_share))
         .withColumn("score", 1 / (1 + F.exp(-joined)))
-        .select(
-            "doc_id",
-            "evidence",
-            "host_posterior",
-            "path_posterior",
-            "score",
-            (F.col("score") >= THRESHOLD).alias("kept"),
-        )
+        .withColumn("kept", F.col("score") >= THRESHOLD)
+    )
+
+
+_JUDGED = ["evidence", "host_posterior", "path_posterior", "score", "kept"]
+
+
+def site_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
+    """Per row: ``doc_id``, ``evidence``, ``host_posterior``, ``path_posterior``, ``score``, ``kept``.
+
+    A logistic classifier of six text statistics, fitted on a bounded sample of labelled rows
+    outside the held-out part, gives every row its log-odds. Their probabilities are summed per
+    host and per path in grouped aggregates. A host's share is shrunk towards the global share
+    and a path's towards its host's, by strengths estimated from the spread of the groups, so a
+    site of a few rows says little. A row's own probability is left out of its site's. The score
+    joins the text evidence (log-odds over the base rate) with the log-odds of the path.
+
+    Null hosts and paths are groups of their own. Null and empty texts have zero statistics.
+    Repeated rows are judged alike. Without usable labels all evidence is 0 and all rows are kept.
+    """
+    rows = measured(docs, "doc_id", F.col(host), F.col(path), F.col("text"))
+    return posteriors(rows, learn(rows, labels), "doc_id").select("doc_id", *_JUDGED)
+
+
+def page_text(html: Column) -> Column:
+    """What a page shows: scripts, styles and tags go, tags that end a block end a line."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    lines = F.regexp_replace(bare, r"(?i)</?(p|div|li|tr|h[1-6]|br|ul|ol|table)\b[^>]*>", "\n")
+    text = F.regexp_replace(lines, r"<[^>]*>", " ")
+    for name, mark in ENTITIES.items():
+        text = F.replace(text, F.lit(name), F.lit(mark))
+    return text
+
+
+def page_quality(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per page: ``page_id``, ``site`` and ``section``, and what ``site_quality`` gives a document.
+
+    The classifier is the one learned from the labelled documents; hosts and paths are those of
+    the page's address: its host in lower case, and the first part of its path. Pages without a
+    readable address form a site of their own, as do addresses without a path within their host.
+    """
+    address = F.col("url").cast("string")
+    host = F.lower(F.try_parse_url(address, F.lit("HOST")))
+    path = F.nullif(F.regexp_extract(F.try_parse_url(address, F.lit("PATH")), "^/([^/]+)", 1), F.lit(""))
+    model = learn(measured(docs, "doc_id", F.lit(None), F.lit(None), F.col("text")), labels)
+    rows = measured(pages, "page_id", host, path, page_text(F.col("html")))
+    judged = posteriors(rows, model, "page_id")
+    named = {"site": "host", "section": "path"}
+    return judged.select(
+        "page_id", *[F.when(F.col(c) != "n", F.substring(c, 2, 1 << 20)).alias(n) for n, c in named.items()], *_JUDGED
     )
