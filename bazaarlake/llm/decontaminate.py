@@ -265,12 +265,12 @@ def _by_place(a: Column, b: Column) -> Column:
 
 
 def find_matches(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int | None = None
 ) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``n_hit``, ``items``, ``matches``, ``contaminated``.
 
     Test items are a stated query set, searched for in all training texts block by block
-    (``block_words`` words each). A task sorts its texts into suffix arrays, shard by shard, and
+    (of ``block_words`` words, ``BLOCK_WORDS`` when not given). A task sorts its texts into suffix arrays, shard by shard, and
     finds each window of ten item words (a shorter item is one window) by bisection; matches are
     then lengthened to the longest verbatim ones and listed with their places. ``n_hit`` counts
     words inside any window found, ``items`` are the ids of items found, as sorted text.
@@ -286,7 +286,7 @@ def find_matches(
     added = ["n_words", "n_hit", "items", "matches", "contaminated"]
     kept = docs.drop(*added)
     rows = kept.withColumn("text", F.col("text").cast("string"))
-    blocks = _blocks(benchmark, window, block_words)
+    blocks = _blocks(benchmark, window, block_words or BLOCK_WORDS)
     first = list(islice(blocks, BLOCKS_AT_ONCE + 1))
     if len(first) <= BLOCKS_AT_ONCE:
         others = [c for c in rows.columns if c != "text"]
