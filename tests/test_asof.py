@@ -35,8 +35,7 @@ def case(seed):
     return versions, rows
 
 
-@pytest.mark.parametrize("few", [0, 5, 1000])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("few, seed", [(0, 1), (5, 1), (5, 2), (1000, 1)])
 def test_as_of(spark, monkeypatch, few, seed):
     monkeypatch.setattr("bazaarlake.operators.facts.FEW_VERSIONS", few)
     versions, rows = case(seed)
