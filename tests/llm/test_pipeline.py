@@ -164,7 +164,8 @@ def test_run_is_its_stages(spark, folder):
     found = corpus_pipeline.run(spark, folder)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for _, step in corpus_pipeline.STAGES:
-        docs = spark.createDataFrame(step(spark, docs, folder).collect(), step(spark, docs, folder).schema)
+        given = step(spark, docs, folder)
+        docs = spark.createDataFrame(given.collect(), given.schema)
     assert plain(found.collect()) == plain(docs.collect()) and found.columns == docs.columns
 
 
