@@ -136,16 +136,19 @@ def _running(rows: DataFrame, within: list[str], order: str, closed: str, opened
 _BLOCK = ["file", "block"]
 
 
-def csv_states(lines: DataFrame, separator: str) -> DataFrame:
-    """``file``, ``block``, ``place`` of every line and whether it leaves a quoted field ``open``."""
-    maps = lines.select(
-        *_BLOCK,
-        "place",
-        csv_left_open(F.col("value"), separator, _FIELD).alias("closed"),
-        csv_left_open(F.col("value"), separator, _QUOTED).alias("opened"),
-    )
-    states = _running(maps, _BLOCK, "place", "closed", "opened")
-    blocks = states.groupBy(_BLOCK).agg(
+def csv_states(lines: DataFrame, separator: str, *kept: str) -> DataFrame:
+    """``file``, ``block``, ``place`` of every line and whether it leaves a quoted field ``open``.
+
+    ``kept`` columns come along, in the one shuffle by block that orders the lines.
+    """
+    value = F.col("value")
+    closed = csv_left_open(value, separator, _FIELD).alias("closed")
+    opened = csv_left_open(value, separator, _QUOTED).alias("opened")
+    narrow = _running(lines.select(*_BLOCK, "place", closed, opened), _BLOCK, "place", "closed", "opened")
+    states = narrow
+    if kept:
+        states = _running(lines.select(*_BLOCK, "place", *kept, closed, opened), _BLOCK, "place", "closed", "opened")
+    blocks = narrow.groupBy(_BLOCK).agg(
         F.max_by("closed", "place").alias("closed"), F.max_by("opened", "place").alias("opened")
     )
     along = _running(blocks, ["file"], "block", "closed", "opened")
@@ -153,27 +156,28 @@ def csv_states(lines: DataFrame, separator: str) -> DataFrame:
         *_BLOCK,
         F.lag("closed", 1, False).over(Window.partitionBy("file").orderBy("block")).alias("entered"),
     )
-    return states.join(entered, _BLOCK).select(
-        *_BLOCK, "place", F.when(F.col("entered"), F.col("opened")).otherwise(F.col("closed")).alias("open")
-    )
+    is_open = F.when(F.col("entered"), F.col("opened")).otherwise(F.col("closed")).alias("open")
+    return states.join(entered, _BLOCK).select(*_BLOCK, "place", *kept, is_open)
 
 
-def json_states(parts: DataFrame) -> DataFrame:
+def json_states(parts: DataFrame, *kept: str) -> DataFrame:
     """``file``, ``block``, ``place`` of every piece, whether its record is ``open`` behind it, and
-    the ``depth`` there (0 inside a string)."""
+    the ``depth`` there (0 inside a string). ``kept`` columns come along."""
     odd, outside, inside = json_outside(F.col("value"))
-    maps = parts.select(*_BLOCK, "place", odd.alias("odd"), outside.alias("outside"), inside.alias("inside"))
     so_far = Window.partitionBy(_BLOCK).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    quotes = F.sum(F.col("odd").cast("int")).over(so_far)
-    # In a string behind this piece, and before it, when the block is entered outside of one.
-    after = maps.withColumn("within", quotes % 2 == 1).withColumn("before", _flip(F.col("within"), F.col("odd")))
-    states = after.withColumns(
-        {
-            "from_outside": F.sum(F.when(F.col("before"), F.col("inside")).otherwise(F.col("outside"))).over(so_far),
-            "from_inside": F.sum(F.when(F.col("before"), F.col("outside")).otherwise(F.col("inside"))).over(so_far),
-        }
-    )
-    blocks = states.groupBy(_BLOCK).agg(
+
+    def in_block(*columns: str) -> DataFrame:
+        maps = parts.select(*_BLOCK, "place", *columns, odd.alias("odd"), outside.alias("outside"), inside.alias("inside"))
+        quotes = F.sum(F.col("odd").cast("int")).over(so_far)
+        # In a string behind this piece, and before it, when the block is entered outside of one.
+        after = maps.withColumn("within", quotes % 2 == 1).withColumn("before", _flip(F.col("within"), F.col("odd")))
+        first = F.when(F.col("before"), F.col("inside")).otherwise(F.col("outside"))
+        second = F.when(F.col("before"), F.col("outside")).otherwise(F.col("inside"))
+        return after.withColumns({"from_outside": F.sum(first).over(so_far), "from_inside": F.sum(second).over(so_far)})
+
+    narrow = in_block()
+    states = in_block(*kept) if kept else narrow
+    blocks = narrow.groupBy(_BLOCK).agg(
         *[F.max_by(c, "place").alias(c) for c in ("within", "from_outside", "from_inside")]
     )
     along = Window.partitionBy("file").orderBy("block")
@@ -187,33 +191,43 @@ def json_states(parts: DataFrame) -> DataFrame:
     inside_now = _flip(F.col("within"), F.col("string"))
     depth = F.col("depth_before") + F.when(F.col("string"), F.col("from_inside")).otherwise(F.col("from_outside"))
     return states.join(entered, _BLOCK).select(
-        *_BLOCK, "place", (inside_now | (depth != 1)).alias("open"), F.when(~inside_now, depth).otherwise(0).alias("depth")
+        *_BLOCK,
+        "place",
+        *kept,
+        (inside_now | (depth != 1)).alias("open"),
+        F.when(~inside_now, depth).otherwise(0).alias("depth"),
     )
 
 
-def members(states: DataFrame) -> DataFrame:
-    """``file`` and ``place`` of the pieces that share a record, with the place where it ``starts``."""
-    in_block = Window.partitionBy(_BLOCK).orderBy("place")
+def _block_starts(states: DataFrame) -> DataFrame:
+    """Per block: whether it is ``entered`` inside a record, and where that record is ``carried``
+    from: the last start in the blocks before."""
     blocks = states.groupBy(_BLOCK).agg(F.max_by("open", "place").alias("open"))
-    entered = blocks.select(
-        *_BLOCK,
-        F.lag("open", 1, False).over(Window.partitionBy("file").orderBy("block")).alias("entered"),
-    )
+    along = Window.partitionBy("file").orderBy("block")
+    entered = blocks.select(*_BLOCK, F.lag("open", 1, False).over(along).alias("entered"))
+    last = _starts(states, entered).groupBy(_BLOCK).agg(F.max("own").alias("last"))
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*_BLOCK, F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    return entered.join(carried, _BLOCK)
+
+
+def _starts(states: DataFrame, entered: DataFrame) -> DataFrame:
+    """Pieces that ``goes_on`` with the record before, and the last start in the block, ``own``."""
+    in_block = Window.partitionBy(_BLOCK).orderBy("place")
     lagged = states.withColumn("before", F.lag("open").over(in_block)).join(entered, _BLOCK)
-    pieces_ = lagged.withColumn("goes_on", F.coalesce("before", "entered"))
+    going = lagged.withColumn("goes_on", F.coalesce("before", "entered"))
     so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
     own = F.last(F.when(~F.col("goes_on"), F.col("place")), ignorenulls=True).over(so_far)
-    started = pieces_.withColumn("own", own)
-    # A record that comes from an earlier block starts at the last start before this block.
-    last = started.groupBy(_BLOCK).agg(F.max("own").alias("last"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(*_BLOCK, F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    shared = (
-        started.filter("goes_on or open")
-        .join(carried, _BLOCK)
+    return going.withColumn("own", own)
+
+
+def members(states: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``file`` and ``place`` of the pieces that share a record, with the place where it ``starts``."""
+    return (
+        _starts(states, blocks)
+        .filter("goes_on or open")
         .select("file", "place", F.coalesce("own", "carried").alias("starts"))
     )
-    return shared
 
 
 # --- records --------------------------------------------------------------------------------
@@ -303,31 +317,70 @@ def json_files(spark: SparkSession, files: Sequence[str]) -> dict[str, Found]:
     return _settled(_found(scanned, files), ends)
 
 
+# Share of pieces in records of several from which texts are moved by block instead of joined.
+MANY = 0.25
+
+
+def _records(
+    parts: DataFrame, states: Callable[..., DataFrame], between: str, many: float | None = None
+) -> DataFrame:
+    """``name``, ``file``, ``place`` and ``value`` of every record.
+
+    Where few pieces share a record, these are found by a join on their places, small enough to be
+    broadcast, and only they are moved. Where many do, all texts are moved once, by block.
+    """
+    blocks = _keep(_block_starts(states(parts)), "blocks")
+    shared = _keep(members(states(parts), blocks), "members")
+    if shared.count() > (MANY if many is None else many) * parts.count():
+        return _assembled(states(parts, "name", "value"), blocks, between)
+    return _joined(parts, shared, between)
+
+
+def _spelled(pieces_: str, between: str) -> Column:
+    return F.array_join(F.transform(F.array_sort(pieces_), lambda p: p["value"]), between).alias("value")
+
+
 def _joined(parts: DataFrame, shared: DataFrame, between: str) -> DataFrame:
-    """``name``, ``file``, ``place`` and ``value`` of every record; pieces of one record joined."""
     alone = parts.join(shared.select("file", "place"), ["file", "place"], "left_anti")
     together = (
         parts.join(shared, ["file", "place"])
         .groupBy("file", "starts")
+        .agg(F.first("name").alias("name"), F.collect_list(F.struct("place", "value")).alias("pieces"))
+    )
+    return alone.select("name", "file", "place", "value").unionByName(
+        together.select("name", "file", F.col("starts").alias("place"), _spelled("pieces", between))
+    )
+
+
+def _assembled(states: DataFrame, blocks: DataFrame, between: str) -> DataFrame:
+    """Records put together inside their blocks; the few that cross one are joined afterwards."""
+    started = _starts(states, blocks).withColumn("starts", F.coalesce("own", "carried"))
+    inside = (
+        started.groupBy("file", "block", "starts")
         .agg(
             F.first("name").alias("name"),
-            F.array_sort(F.collect_list(F.struct("place", "value"))).alias("pieces"),
+            F.collect_list(F.struct("place", "value")).alias("pieces"),
+            F.max(F.col("own").isNull()).alias("continued"),
+            F.max_by("open", "place").alias("unfinished"),
         )
         .select(
-            "name",
-            "file",
-            F.col("starts").alias("place"),
-            F.array_join(F.transform("pieces", lambda p: p["value"]), between).alias("value"),
+            "name", "file", "block", "starts", _spelled("pieces", between),
+            (F.col("continued") | F.col("unfinished")).alias("crosses"),
         )
+    )
+    crossing = (
+        inside.filter("crosses")
+        .groupBy("file", "starts")
+        .agg(F.first("name").alias("name"), F.collect_list(F.struct("block", "value")).alias("pieces"))
+        .select("name", "file", F.col("starts").alias("place"), _spelled("pieces", between))
     )
-    return alone.select("name", "file", "place", "value").unionByName(together)
+    whole = inside.filter("not crosses").select("name", "file", F.col("starts").alias("place"), "value")
+    return whole.unionByName(crossing)
 
 
 def csv_records(spark: SparkSession, files: Sequence[str], separator: str, cut: str = "\n") -> DataFrame:
     """Every record of CSV files as text, line breaks inside quotes included, header lines too."""
-    lines = pieces(spark, files, cut)
-    shared = _keep(members(csv_states(lines, separator)), "csv_members")
-    return _joined(lines, shared, cut)
+    return _records(pieces(spark, files, cut), lambda lines, *kept: csv_states(lines, separator, *kept), cut)
 
 
 def json_objects(spark: SparkSession, files: Sequence[str], spread: bool) -> DataFrame:
@@ -337,8 +390,7 @@ def json_objects(spark: SparkSession, files: Sequence[str], spread: bool) -> Dat
     """
     parts = pieces(spark, files, JSON_CUT)
     if spread:
-        shared = _keep(members(json_states(parts)), "json_members")
-        rows = _joined(parts, shared, JSON_CUT)
+        rows = _records(parts, json_states, JSON_CUT)
     else:
         rows = parts.select("name", "file", "place", "value")
     bare = F.regexp_replace("value", r"^[\s,\[]+", "")

@@ -43,8 +43,12 @@ def campaigns(spark, root):
     return valid.orderBy("source_filename", "ingest_ordinal").collect()
 
 
-@pytest.mark.parametrize("seed, delimiter, count", [(1, ",", 300), (2, "\t", 300), (3, ",", 3)])
-def test_csv_equals_a_reader_that_honours_quotes(spark, tmp_path, small_blocks, seed, delimiter, count):
+@pytest.mark.parametrize("many", [0, 2])
+@pytest.mark.parametrize("seed, delimiter, count", [(1, ",", 300), (3, "\t", 3)])
+def test_csv_equals_a_reader_that_honours_quotes(
+    spark, tmp_path, small_blocks, monkeypatch, seed, delimiter, count, many
+):
+    monkeypatch.setattr(records, "MANY", many)
     folder = tmp_path / "marketing_department"
     folder.mkdir()
     rows = [[f"C{i}", t, u, f"{i}%"] for i, (t, u) in enumerate(zip(texts(seed, count), texts(seed + 9, count)))]
@@ -100,8 +104,9 @@ def test_files_that_end_inside_a_record_are_passed_over(spark, tmp_path):
 
 
 @pytest.mark.parametrize("indent, separators", [(None, (",", ":")), (2, None)])
-@pytest.mark.parametrize("nested", [False, True])
-def test_json_arrays(spark, tmp_path, small_blocks, indent, separators, nested):
+@pytest.mark.parametrize("nested, many", [(False, 0), (True, 0), (True, 2)])
+def test_json_arrays(spark, tmp_path, small_blocks, monkeypatch, indent, separators, nested, many):
+    monkeypatch.setattr(records, "MANY", many)
     folder = tmp_path / "marketing_department"
     folder.mkdir()
     rows = []
