@@ -92,14 +92,19 @@ def csv_left_open(line: Column, separator: str, entered: int) -> Column:
 def json_outside(piece: Column) -> tuple[Column, Column, Column]:
     """Whether a piece has an odd number of quotes, and the change of depth, its closing brace
     included, for a piece entered outside and inside a string."""
-    parts = F.split(F.regexp_replace(piece, r"(?s)\\.", ""), '"')
-    odd = F.pmod(F.size(parts) - 1, F.lit(2)) == 1
+    plain = F.when(F.instr(piece, "\\") == 0, piece).otherwise(F.regexp_replace(piece, r"(?s)\\.", ""))
+    quotes = F.length(plain) - F.length(F.translate(plain, '"', ""))
+    odd = quotes % 2 == 1
+
+    def change(text: Column) -> Column:
+        opened = F.length(text) - F.length(F.translate(text, "{[", ""))
+        return opened - (F.length(text) - F.length(F.translate(text, "}]", "")))
 
     def depth(rest: int) -> Column:
-        text = F.array_join(F.filter(parts, lambda _, i: F.pmod(i, F.lit(2)) == rest), "")
-        size = F.length(text)
-        opened = size - F.length(F.translate(text, "{[", ""))
-        return opened - (size - F.length(F.translate(text, "}]", "")))
+        parts = F.filter(F.split(plain, '"'), lambda _, i: F.pmod(i, F.lit(2)) == rest)
+        # A piece without quotes is outside of strings as a whole, or not at all.
+        alone = change(plain) if rest == 0 else F.lit(0)
+        return F.when(quotes == 0, alone).otherwise(change(F.array_join(parts, "")))
 
     from_outside = depth(0) - F.when(odd, 0).otherwise(1)
     from_inside = depth(1) - F.when(odd, 1).otherwise(0)
@@ -136,19 +141,21 @@ def _running(rows: DataFrame, within: list[str], order: str, closed: str, opened
 _BLOCK = ["file", "block"]
 
 
-def csv_states(lines: DataFrame, separator: str, *kept: str) -> DataFrame:
-    """``file``, ``block``, ``place`` of every line and whether it leaves a quoted field ``open``.
+def csv_maps(lines: DataFrame, separator: str, *kept: str) -> DataFrame:
+    """Place of every line, ``kept`` columns, and whether it leaves a quoted field open, entered at
+    the start of a field (``closed``) and inside a quoted one (``opened``)."""
+    closed = csv_left_open(F.col("value"), separator, _FIELD).alias("closed")
+    opened = csv_left_open(F.col("value"), separator, _QUOTED).alias("opened")
+    return lines.select(*_BLOCK, "place", *kept, closed, opened)
+
 
-    ``kept`` columns come along, in the one shuffle by block that orders the lines.
+def csv_states(maps: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The places and kept columns of ``maps`` and whether each line leaves a quoted field ``open``.
+
+    ``narrow`` are the maps without further columns; they tell what state blocks are entered in.
     """
-    value = F.col("value")
-    closed = csv_left_open(value, separator, _FIELD).alias("closed")
-    opened = csv_left_open(value, separator, _QUOTED).alias("opened")
-    narrow = _running(lines.select(*_BLOCK, "place", closed, opened), _BLOCK, "place", "closed", "opened")
-    states = narrow
-    if kept:
-        states = _running(lines.select(*_BLOCK, "place", *kept, closed, opened), _BLOCK, "place", "closed", "opened")
-    blocks = narrow.groupBy(_BLOCK).agg(
+    states = _running(maps, _BLOCK, "place", "closed", "opened")
+    blocks = (states if maps is narrow else _running(narrow, _BLOCK, "place", "closed", "opened")).groupBy(_BLOCK).agg(
         F.max_by("closed", "place").alias("closed"), F.max_by("opened", "place").alias("opened")
     )
     along = _running(blocks, ["file"], "block", "closed", "opened")
@@ -156,28 +163,32 @@ def csv_states(lines: DataFrame, separator: str, *kept: str) -> DataFrame:
         *_BLOCK,
         F.lag("closed", 1, False).over(Window.partitionBy("file").orderBy("block")).alias("entered"),
     )
-    is_open = F.when(F.col("entered"), F.col("opened")).otherwise(F.col("closed")).alias("open")
-    return states.join(entered, _BLOCK).select(*_BLOCK, "place", *kept, is_open)
+    is_open = F.when(F.col("entered"), F.col("opened")).otherwise(F.col("closed"))
+    return states.join(entered, _BLOCK).withColumn("open", is_open).drop("closed", "opened", "entered")
 
 
-def json_states(parts: DataFrame, *kept: str) -> DataFrame:
-    """``file``, ``block``, ``place`` of every piece, whether its record is ``open`` behind it, and
-    the ``depth`` there (0 inside a string). ``kept`` columns come along."""
+def json_maps(parts: DataFrame, *kept: str) -> DataFrame:
+    """Place of every piece, ``kept`` columns, and its ``odd``, ``outside`` and ``inside``."""
     odd, outside, inside = json_outside(F.col("value"))
+    return parts.select(*_BLOCK, "place", *kept, odd.alias("odd"), outside.alias("outside"), inside.alias("inside"))
+
+
+def json_states(maps: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The places and kept columns of ``maps``, whether the record is ``open`` behind each piece,
+    and the ``depth`` there (0 inside a string). ``narrow``: as in ``csv_states``."""
     so_far = Window.partitionBy(_BLOCK).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
 
-    def in_block(*columns: str) -> DataFrame:
-        maps = parts.select(*_BLOCK, "place", *columns, odd.alias("odd"), outside.alias("outside"), inside.alias("inside"))
+    def in_block(rows: DataFrame) -> DataFrame:
         quotes = F.sum(F.col("odd").cast("int")).over(so_far)
         # In a string behind this piece, and before it, when the block is entered outside of one.
-        after = maps.withColumn("within", quotes % 2 == 1).withColumn("before", _flip(F.col("within"), F.col("odd")))
+        after = rows.withColumn("within", quotes % 2 == 1).withColumn("before", _flip(F.col("within"), F.col("odd")))
         first = F.when(F.col("before"), F.col("inside")).otherwise(F.col("outside"))
         second = F.when(F.col("before"), F.col("outside")).otherwise(F.col("inside"))
-        return after.withColumns({"from_outside": F.sum(first).over(so_far), "from_inside": F.sum(second).over(so_far)})
+        sums = {"from_outside": F.sum(first).over(so_far), "from_inside": F.sum(second).over(so_far)}
+        return after.withColumns(sums).drop("odd", "outside", "inside", "before")
 
-    narrow = in_block()
-    states = in_block(*kept) if kept else narrow
-    blocks = narrow.groupBy(_BLOCK).agg(
+    states = in_block(maps)
+    blocks = (states if maps is narrow else in_block(narrow)).groupBy(_BLOCK).agg(
         *[F.max_by(c, "place").alias(c) for c in ("within", "from_outside", "from_inside")]
     )
     along = Window.partitionBy("file").orderBy("block")
@@ -190,12 +201,10 @@ def json_states(parts: DataFrame, *kept: str) -> DataFrame:
     )
     inside_now = _flip(F.col("within"), F.col("string"))
     depth = F.col("depth_before") + F.when(F.col("string"), F.col("from_inside")).otherwise(F.col("from_outside"))
-    return states.join(entered, _BLOCK).select(
-        *_BLOCK,
-        "place",
-        *kept,
-        (inside_now | (depth != 1)).alias("open"),
-        F.when(~inside_now, depth).otherwise(0).alias("depth"),
+    return (
+        states.join(entered, _BLOCK)
+        .withColumns({"open": inside_now | (depth != 1), "depth": F.when(~inside_now, depth).otherwise(0)})
+        .drop("within", "from_outside", "from_inside", "string", "depth_before")
     )
 
 
@@ -287,8 +296,8 @@ def csv_files(spark: SparkSession, files: Sequence[str], separator: str, cut: st
     )
 
     def ends(careful: list[str]) -> DataFrame:
-        states = csv_states(pieces(spark, careful, cut), separator)
-        return states.groupBy("file").agg(F.max_by("open", "place"))
+        maps = csv_maps(pieces(spark, careful, cut), separator)
+        return csv_states(maps, maps).groupBy("file").agg(F.max_by("open", "place"))
 
     return _settled(_found(scanned, files), ends)
 
@@ -311,8 +320,8 @@ def json_files(spark: SparkSession, files: Sequence[str]) -> dict[str, Found]:
 
     def ends(careful: list[str]) -> DataFrame:
         # The last piece ends the array and has no brace of its own.
-        states = json_states(pieces(spark, careful, JSON_CUT))
-        return states.groupBy("file").agg(F.max_by("depth", "place") != -1)
+        maps = json_maps(pieces(spark, careful, JSON_CUT))
+        return json_states(maps, maps).groupBy("file").agg(F.max_by("depth", "place") != -1)
 
     return _settled(_found(scanned, files), ends)
 
@@ -322,17 +331,22 @@ MANY = 0.25
 
 
 def _records(
-    parts: DataFrame, states: Callable[..., DataFrame], between: str, many: float | None = None
+    parts: DataFrame,
+    maps: Callable[..., DataFrame],
+    states: Callable[[DataFrame, DataFrame], DataFrame],
+    between: str,
 ) -> DataFrame:
     """``name``, ``file``, ``place`` and ``value`` of every record.
 
-    Where few pieces share a record, these are found by a join on their places, small enough to be
-    broadcast, and only they are moved. Where many do, all texts are moved once, by block.
+    The maps of all pieces are written once. Where few pieces share a record, these are found by a
+    join on their places, small enough to be broadcast, and only they are moved. Where many do,
+    all texts are moved once, by block.
     """
-    blocks = _keep(_block_starts(states(parts)), "blocks")
-    shared = _keep(members(states(parts), blocks), "members")
-    if shared.count() > (MANY if many is None else many) * parts.count():
-        return _assembled(states(parts, "name", "value"), blocks, between)
+    narrow = _keep(maps(parts), "maps")
+    blocks = _keep(_block_starts(states(narrow, narrow)), "blocks")
+    shared = _keep(members(states(narrow, narrow), blocks), "members")
+    if shared.count() > MANY * narrow.count():
+        return _assembled(states(maps(parts, "name", "value"), narrow), blocks, between)
     return _joined(parts, shared, between)
 
 
@@ -380,7 +394,8 @@ def _assembled(states: DataFrame, blocks: DataFrame, between: str) -> DataFrame:
 
 def csv_records(spark: SparkSession, files: Sequence[str], separator: str, cut: str = "\n") -> DataFrame:
     """Every record of CSV files as text, line breaks inside quotes included, header lines too."""
-    return _records(pieces(spark, files, cut), lambda lines, *kept: csv_states(lines, separator, *kept), cut)
+    lines = pieces(spark, files, cut)
+    return _records(lines, lambda rows, *kept: csv_maps(rows, separator, *kept), csv_states, cut)
 
 
 def json_objects(spark: SparkSession, files: Sequence[str], spread: bool) -> DataFrame:
@@ -390,7 +405,7 @@ def json_objects(spark: SparkSession, files: Sequence[str], spread: bool) -> Dat
     """
     parts = pieces(spark, files, JSON_CUT)
     if spread:
-        rows = _records(parts, json_states, JSON_CUT)
+        rows = _records(parts, json_maps, json_states, JSON_CUT)
     else:
         rows = parts.select("name", "file", "place", "value")
     bare = F.regexp_replace("value", r"^[\s,\[]+", "")
