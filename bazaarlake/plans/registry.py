@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -235,22 +236,32 @@ def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files ------------------------------------------------------------------------------------------
 
 _delivered: dict[tuple[str, str, str], str] = {}
+_departments: set[tuple[str, str]] = set()
+_delivering = threading.RLock()
 
 
-def delivery(spark: SparkSession, sf_dir: str, kind: str = "delivery") -> str:
-    """Folder with driver tables written out as departmental files, once per application."""
-    application = spark.sparkContext.applicationId
-    if (application, sf_dir, kind) not in _delivered:
-        name = re.sub(r"\W+", "_", sf_dir)
-        root = f"{shared_dir(spark)}/{kind}/{application}/{name}-{uuid.uuid4().hex}"
-        getattr(tpch_files, f"write_{kind}")(spark, sf_dir, root)
-        _delivered[(application, sf_dir, kind)] = root
-    return _delivered[(application, sf_dir, kind)]
+def delivery(spark: SparkSession, sf_dir: str, kind: str = "delivery", *tables: str) -> str:
+    """Folder with driver tables written out as departmental files, once per application.
+
+    Only the departments of ``tables`` are written, of all tables when none is named: a table is
+    looked for among all files of its department, and nowhere else.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    with _delivering:
+        if key not in _delivered:
+            name = re.sub(r"\W+", "_", sf_dir)
+            _delivered[key] = f"{shared_dir(spark)}/{kind}/{key[0]}/{name}-{uuid.uuid4().hex}"
+        root = _delivered[key]
+        for department in dict.fromkeys(files.INGESTS[t].folder for t in tables or files.INGESTS):
+            if (root, department) not in _departments:
+                getattr(tpch_files, f"write_{kind}")(spark, sf_dir, root, department)
+                _departments.add((root, department))
+        return root
 
 
 def _ingested(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        valid, _ = files.ingest(spark, delivery(spark, sf_dir), table, tpch_files.LOAD_TIME)
+        valid, _ = files.ingest(spark, delivery(spark, sf_dir, "delivery", table), table, tpch_files.LOAD_TIME)
         return plain(valid.drop("source_filename", "ingest_ordinal"))
 
     return query
@@ -258,7 +269,7 @@ def _ingested(table: str) -> Query:
 
 def ingest_orders_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejected = files.ingest(
-        spark, delivery(spark, sf_dir), "stg_orders", tpch_files.LOAD_TIME
+        spark, delivery(spark, sf_dir, "delivery", "stg_orders"), "stg_orders", tpch_files.LOAD_TIME
     )
     return plain(rejected.drop("source_filename", "ingest_ordinal"))
 
@@ -296,9 +307,8 @@ def ingest_staging_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and distinct (file, position) pairs of the scanned product lines."""
-    valid, _ = files.ingest(
-        spark, delivery(spark, sf_dir), "stg_line_items_products", tpch_files.LOAD_TIME
-    )
+    root = delivery(spark, sf_dir, "delivery", "stg_line_items_products")
+    valid, _ = files.ingest(spark, root, "stg_line_items_products", tpch_files.LOAD_TIME)
     places = valid.groupBy("source_filename", "ingest_ordinal").agg(F.count("*").alias("n"))
     return places.agg(
         F.sum("n").alias("row_count"), F.count("*").alias("distinct_positions")
@@ -307,7 +317,7 @@ def ingest_row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaigns whose descriptions hold line breaks, quotes and delimiters inside quotes."""
-    root = delivery(spark, sf_dir, "quoted_delivery")
+    root = delivery(spark, sf_dir, "quoted_delivery", "stg_campaign")
     valid, _ = files.ingest(spark, root, "stg_campaign", tpch_files.LOAD_TIME)
     return valid.select(
         "campaign_id",
@@ -320,7 +330,7 @@ def ingest_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs from pretty-printed and one-line arrays with braces inside strings."""
-    root = delivery(spark, sf_dir, "array_delivery")
+    root = delivery(spark, sf_dir, "array_delivery", "stg_user_job")
     valid, _ = files.ingest(spark, root, "stg_user_job", tpch_files.LOAD_TIME)
     return valid.select(
         "user_id",

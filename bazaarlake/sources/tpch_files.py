@@ -51,8 +51,13 @@ def _spelled(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(spelled) if spelled else df
 
 
-def write_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
-    for table, rows in tpch.staging(spark, sf_dir).items():
+def write_delivery(spark: SparkSession, sf_dir: str, root: str, department: str) -> None:
+    """Files of all tables of one department."""
+    staging = tpch.staging(spark, sf_dir)
+    for table in staging:
+        if INGESTS[table].folder != department:
+            continue
+        rows = staging[table]
         kind, delimiter = LAYOUT[table]
         columns = STAGING[table].names[:-3]
         # Headers need trimming, lower-casing and underscores; an index column goes first.
@@ -76,7 +81,7 @@ def write_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
         getattr(writer, kind)(f"{root}/{INGESTS[table].folder}")
 
 
-def write_quoted_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
+def write_quoted_delivery(spark: SparkSession, sf_dir: str, root: str, department: str) -> None:
     """Documents as campaign files: commas, doubled quotes and line breaks inside quoted fields."""
     docs = tpch.driver_table(spark, sf_dir, "documents")
     campaigns = docs.select(
@@ -88,7 +93,7 @@ def write_quoted_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
     writer = campaigns.write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    writer.csv(f"{root}/{INGESTS['stg_campaign'].folder}")
+    writer.csv(f"{root}/{department}")
 
 
 def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +108,7 @@ def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(["[]" if mark == "[" else "]"])], ["value"])
 
 
-def write_array_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
+def write_array_delivery(spark: SparkSession, sf_dir: str, root: str, department: str) -> None:
     """Documents as JSON arrays of user jobs, pretty-printed or on one line each, with braces,
     brackets, quotes and backslashes inside strings and nested objects."""
     docs = tpch.driver_table(spark, sf_dir, "documents")
@@ -117,7 +122,7 @@ def write_array_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
             F.struct(F.col("n_chars"), F.array(F.lit("]")).alias("marks")).alias("more"),
         ).alias("job"),
     )
-    folder = f"{root}/{INGESTS['stg_user_job'].folder}"
+    folder = f"{root}/{department}"
     for half, (pretty, line_end) in enumerate([("true", "\n"), ("false", " ")]):
         texts = jobs.filter(F.col("doc_id") % 2 == half).select(
             F.to_json("job", {"pretty": pretty, "ignoreNullFields": "false"}).alias("value")

@@ -2,7 +2,7 @@
 
 import os
 
-from bazaarlake.plans import batch, star, store
+from bazaarlake.plans import batch, registry, star, store
 from bazaarlake.plans.star import read_star, star_of
 from test_warehouse import rows, shop
 
@@ -44,3 +44,14 @@ def test_tables_on_demand_equal_those_of_whole_batches(spark, tmp_path):
         assert rows(found.order_sums.by("merchant_key")) == rows(expected.order_sums.by("merchant_key"))
     assert second.publish() == 2 and second.publish() == 2
     assert rows(read_star(warehouse).fact_order) == rows(read_star(whole).fact_order)
+
+
+def test_an_ingest_has_its_department_delivered(spark, tmp_path):
+    driver = str(tmp_path)
+    part = "p_partkey int, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    parts = [(1, "ring", "Brand#1", "LARGE", 3, 9.0), (2, "bolt", "Brand#2", "PROMO", 4, 7.5)]
+    spark.createDataFrame(parts, part).write.parquet(f"{driver}/part.parquet")
+    found = registry.queries()["ingest_stg_product_list"](spark, driver)
+    assert sorted(r.product_id.strip().upper() for r in found.collect()) == ["P1", "P2"]
+    root = registry.delivery(spark, driver, "delivery", "stg_product_list")
+    assert os.listdir(root) == ["business_department"]
