@@ -2,6 +2,7 @@
 
 import os
 
+from bazaarlake.operators import facts
 from bazaarlake.plans import batch, registry, star, store
 from bazaarlake.plans.star import read_star, star_of
 from test_warehouse import rows, shop
@@ -46,6 +47,20 @@ def test_tables_on_demand_equal_those_of_whole_batches(spark, tmp_path):
     assert rows(read_star(warehouse).fact_order) == rows(read_star(whole).fact_order)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_matched_without_product_names(spark):
+    clean = batch.clean_sources(shop(spark))
+    products = "product_id string, product_key bigint, is_current boolean"
+    lines = batch.incoming_lines(clean, spark.createDataFrame([("P1", 1, True)], products))
+    paired = [line for line in plan_of(lines).splitlines() if "struct(" in line]
+    assert paired and not any("product_name" in line for line in paired)
+    named = facts.match_lines(clean["product_lines"], clean["price_lines"])
+    assert "product_name" in named.columns
+
+
 def test_an_ingest_has_its_department_delivered(spark, tmp_path):
     driver = str(tmp_path)
     part = "p_partkey int, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"

@@ -33,6 +33,17 @@ def test_number_within(spark, hot_rows, stride):
     assert len(numbered) == len(rows)
 
 
+def test_keys_are_counted_apart_only_in_crowded_places(spark, monkeypatch):
+    df = spark.range(2000).select(F.concat(F.lit("k"), F.col("id") % 500).alias("key"))
+    monkeypatch.setattr(ordinal, "_PLACES", 1)
+    assert ordinal.split_hot(df, "key", 4) == (df, None)
+    usual, large = ordinal.split_hot(df.unionAll(df.filter("key = 'k7'")), "key", 7)
+    assert usual.count() == 1996 and large.count() == 8
+    monkeypatch.setattr(ordinal, "_PLACES", 65_536)
+    monkeypatch.setattr(ordinal, "oversized", None)
+    assert ordinal.split_hot(df, "key", 1000) == (df, None)
+
+
 def test_chunks_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(ordinal, "_MIN_CHUNK", 7)
     df = spark.range(500).select(F.lit("hot").alias("key"), F.col("id").alias("position"))
