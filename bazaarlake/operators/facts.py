@@ -104,16 +104,13 @@ def orders_with_versions(
 
     ``most``: versions a member can have, where known.
     """
-    rows = orders.join(bridge.select("order_id", "merchant_bk", "staff_bk"), "order_id", "left")
-    for dimension, on, key, effective in [
-        (dim_customer, "user_id", "customer_key", "_customer_from"),
-        (dim_merchant, "merchant_bk", "merchant_key", "_merchant_from"),
-        (dim_staff, "staff_bk", "staff_key", "_staff_from"),
-    ]:
-        # Several customers may share a user id, each with versions of its own.
-        known = None if on == "user_id" else most
-        rows = as_of_version(rows, dimension, on, "transaction_date", key, effective, known)
-    return rows
+    at = "transaction_date"
+    # Several customers may share a user id, each with versions of its own. They are looked up
+    # before the bridge comes in, so its long business keys are not shuffled by user.
+    rows = as_of_version(orders, dim_customer, "user_id", at, "customer_key", "_customer_from")
+    rows = rows.join(bridge.select("order_id", "merchant_bk", "staff_bk"), "order_id", "left")
+    rows = as_of_version(rows, dim_merchant, "merchant_bk", at, "merchant_key", "_merchant_from", most)
+    return as_of_version(rows, dim_staff, "staff_bk", at, "staff_key", "_staff_from", most)
 
 
 def one_row_per_order(rows: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Loads write the tables asked for and those they depend on, each once."""
 
 import os
+from datetime import date, datetime
 
 from bazaarlake.operators import facts
 from bazaarlake.plans import batch, registry, star, store
@@ -61,6 +62,22 @@ def test_lines_are_matched_without_product_names(spark):
     assert "product_name" in named.columns
 
 
+def test_customers_are_looked_up_without_keys_of_the_bridge(spark):
+    orders = spark.createDataFrame([("O1", "U1", date(2024, 1, 1))], "order_id string, user_id string, transaction_date date")
+    bridge = spark.createDataFrame([("O1", "m", "s")], "order_id string, merchant_bk string, staff_bk string")
+
+    def dimension(on, key):
+        versions = f"{on} string, {key} bigint, effective_date timestamp, end_date timestamp"
+        return spark.createDataFrame([({"user_id": "U1"}.get(on, on[0]), 7, datetime(1900, 1, 1), None)], versions)
+
+    members = [("user_id", "customer_key"), ("merchant_bk", "merchant_key"), ("staff_bk", "staff_key")]
+    found = facts.orders_with_versions(orders, bridge, *[dimension(on, key) for on, key in members])
+    # The deepest join of the plan is printed last.
+    joins = [line for line in plan_of(found).splitlines() if " Join " in line or line.startswith("Join ")]
+    assert "_on" in joins[-1] and "merchant_bk" not in joins[-1]
+    assert [(r.customer_key, r.merchant_key, r.staff_key) for r in found.collect()] == [(7, 7, 7)]
+
+
 def test_an_ingest_has_its_department_delivered(spark, tmp_path):
     driver = str(tmp_path)
     part = "p_partkey int, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
