@@ -25,6 +25,7 @@ from bazaarlake.llm import (
     site_quality,
     toxicity,
 )
+from bazaarlake.session import shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, score string"
 WORDS = [f"w{i}" for i in range(400)]
@@ -249,6 +250,26 @@ def test_lines_with_changed_words(spark, monkeypatch, direct):
         assert row.kept_text == "\n".join(lines[k] for k in part if k not in gone)
 
 
+def test_line_dedup_frees_what_it_no_longer_reads(spark):
+    """Lines of few words, often repeated, against brute force; tables of the joins are gone after it."""
+    chance = random.Random(3)
+    lines = [" ".join(chance.choices("abc", [8, 3, 1], k=chance.randrange(4, 40))) for _ in range(40)]
+    bags = [collections.Counter(line.split()) for line in lines]
+    gone = {
+        b
+        for b in range(len(bags))
+        for a in range(b)
+        if 100 * (bags[a] & bags[b]).total() >= 80 * (bags[a] | bags[b]).total()
+    }
+    folder = f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = line_dedup.remove_later_lines(docs, tokens_of=line_dedup.words).collect()
+    assert {row.doc_id for row in found if row.n_removed} == gone
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left <= {"lines", "line_sets", "line_pairs", "line_matches", "line_removed"}
+
+
 @pytest.mark.parametrize("tokens_of", [line_dedup.words, line_dedup.shingles])
 def test_lines_of_rows_that_share_an_id(spark, tokens_of):
     """A repeated line goes from the row that has it, not from other rows with its id or none."""
