@@ -270,6 +270,40 @@ def test_line_dedup_frees_what_it_no_longer_reads(spark):
     assert left <= {"lines", "line_sets", "line_pairs", "line_matches", "line_removed"}
 
 
+def test_line_candidates_are_few(spark, monkeypatch):
+    """Long lines that share words but are no copies: hardly any of them meet, the few near copies all do."""
+    chance = random.Random(5)
+    lines = [[f"w{chance.randrange(6000)}" for _ in range(chance.randrange(90, 180))] for _ in range(400)]
+    for i in range(20):
+        near = list(lines[i])
+        for place in chance.sample(range(len(near)), i * len(near) // 100):
+            near[place] = f"w{chance.randrange(6000)}"
+        chance.shuffle(near)
+        lines.append(near)
+    bags = [collections.Counter(line) for line in lines]
+    gone = {
+        b
+        for b in range(len(bags))
+        for a in range(b)
+        if 100 * (bags[a] & bags[b]).total() >= 80 * (bags[a] | bags[b]).total()
+    }
+    assert 5 < len(gone) < 20
+    met = []
+    stage = line_dedup.stage
+
+    def counted(rows, name, *cut_by):
+        found = stage(rows, name, *cut_by)
+        if name == "line_pairs":
+            met.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "stage", counted)
+    docs = spark.createDataFrame([(i, " ".join(line)) for i, line in enumerate(lines)], "doc_id long, text string")
+    found = line_dedup.remove_later_lines(docs, tokens_of=line_dedup.words).collect()
+    assert {row.doc_id for row in found if row.n_removed} == gone
+    assert sum(met) < 2 * len(lines)
+
+
 @pytest.mark.parametrize("tokens_of", [line_dedup.words, line_dedup.shingles])
 def test_lines_of_rows_that_share_an_id(spark, tokens_of):
     """A repeated line goes from the row that has it, not from other rows with its id or none."""
