@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlake.operators import checks, facts
+from bazaarlake.operators import checks, facts, ordinal
 from bazaarlake.plans import batch, filters, store
 from test_loads import plan_of
 from test_warehouse import shop
@@ -21,9 +21,9 @@ def test_a_reload_tells_its_orders_apart_once(spark, tmp_path, monkeypatch):
             given.append(order_ids)
         return touched(self, table, folders, order_ids, known)
 
-    def kept(existing, reloaded, lines, key_start=None):
+    def kept(existing, reloaded, *rest, **named):
         replaced.append(reloaded)
-        return replace(existing, reloaded, lines, key_start)
+        return replace(existing, reloaded, *rest, **named)
 
     monkeypatch.setattr(store.Warehouse, "touched", asked)
     monkeypatch.setattr(facts, "replace_lines", kept)
@@ -126,3 +126,40 @@ def test_entries_of_rules_are_not_listed_through_lambdas(spark):
         "reference fact_order.campaign_key": 1,
         "reference fact_order_line_item.product_key": 1,
     }
+
+
+def test_lines_are_numbered_before_they_are_written(spark, tmp_path, monkeypatch):
+    """Written lines have their place in their key bucket: they are not shuffled and sorted again for the keys."""
+    staged, written = {}, []
+    stage, write = store.Warehouse.stage, store.Warehouse.write
+
+    def kept(self, rows, name):
+        staged[name] = stage(self, rows, name)
+        return staged[name]
+
+    def seen(self, table, rows):
+        if table == "fact_order_line_item":
+            written.append(rows)
+        return write(self, table, rows)
+
+    monkeypatch.setattr(store.Warehouse, "stage", kept)
+    monkeypatch.setattr(store.Warehouse, "write", seen)
+    warehouse = store.Warehouse(spark, str(tmp_path / "w"))
+    batch.run_batch(warehouse, shop(spark), DAYS[0])
+    assert {"_bucket", "_inside"} <= set(staged["incoming_lines"].columns)
+    (lines,) = written
+    assert "md5" not in plan_of(lines) and lines.count() == staged["incoming_lines"].count() > 0
+    assert sorted(r.line_item_key for r in lines.collect()) == list(range(1, lines.count() + 1))
+
+
+def test_keys_are_the_same_with_numbered_rows_written(spark, tmp_path):
+    warehouse = store.Warehouse(spark, str(tmp_path / "w"))
+    rows = spark.range(3000).select(F.concat(F.lit("O"), F.col("id") % 700).alias("order_id"), "id")
+
+    def keyed(**named):
+        found = ordinal.surrogate_keys(rows, "key", F.md5("order_id"), ["order_id", "id"], F.lit(10), 2, **named)
+        return sorted(map(tuple, found.select("id", "order_id", "key").collect()))
+
+    plain = keyed()
+    assert keyed(stage=lambda numbered: warehouse.stage(numbered, "numbered")) == plain
+    assert sorted(key for *_, key in plain) == list(range(11, 3011))
